@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import dates, numbers, text
 from millrace.operators import clean, join, prepare, profile, rules
+from millrace.operators.stats import group_medians
+from millrace.sources.tables import inventory, keep_for_reuse
 from millrace.workload.base import query
 
 
@@ -341,8 +343,6 @@ def impute_group_median(t):
     "SELECT cargo, round(quantile_cont(weight, 0.5), 4) AS median FROM {shipments} WHERE cargo IS NOT NULL AND weight IS NOT NULL GROUP BY cargo",
 )
 def group_median_weight(t):
-    from millrace.operators.stats import group_medians
-
     out = group_medians(t.shipments, "cargo", "weight")
     return out.select("cargo", F.round("median", 4).alias("median"))
 
@@ -385,9 +385,9 @@ def clean_shipments(t):
     df = clean.parse_dates(df, ["sent"])
     df = clean.title_columns(df, ["cargo"])
     df = df.withColumn("weight", numbers.to_number(F.col("weight_text")))
+    df = keep_for_reuse(df.select("shipment_id", "line_no", "route_id", "sent", "cargo", "weight"))
     df = clean.fill_mode(df, ["route_id"])
-    df = clean.drop_outliers(df, ["weight"], 2.0)
-    return df.select("shipment_id", "line_no", "route_id", "sent", "cargo", "weight")
+    return clean.drop_outliers(df, ["weight"], 2.0)
 
 
 # --- rules ------------------------------------------------------------------------------------
@@ -545,8 +545,6 @@ def mojibake_repair(t):
     "SELECT 'orders', count(*), 6 FROM orders UNION ALL SELECT 'part', count(*), 6 FROM part UNION ALL SELECT 'events', count(*), 6 FROM events",
 )
 def table_inventory(t):
-    from millrace.sources.tables import inventory
-
     return inventory({n: t.raw(n) for n in ("lineitem", "orders", "part", "events")})
 
 
