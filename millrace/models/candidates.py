@@ -89,7 +89,7 @@ def _stochastic(loss: str = "hinge", alpha: float = 1e-4, penalty: str = "l2") -
             )
         )
     if loss == "hinge" and mix == 0.0:
-        return _estimator(lambda: LinearSVC(weightCol="weight", regParam=alpha, standardization=False, maxIter=200))
+        return _estimator(lambda: LinearSVC(weightCol="weight", regParam=alpha, standardization=False, maxIter=30, tol=1e-3))
 
     def unsupported(_):
         raise ValueError(f"no distributed solver for loss {loss!r} with penalty {penalty!r}")

@@ -187,42 +187,44 @@ def score_naive_bayes(df: DataFrame, label: str, columns: Sequence[str], var_smo
 
 
 def smoothing_sweep(
-    df: DataFrame, values: Sequence[float], fold: str, k: int, label: str = "label"
+    df: DataFrame, values: Sequence[float], fold: str, held: Sequence[int], label: str = "label"
 ) -> DataFrame:
-    """F1 per smoothing value and fold from one pass of moments and one pass of scoring.
+    """Confusion counts per smoothing value and held-out fold: one pass of moments, one of scoring.
 
-    Class statistics do not depend on the smoothing, so each fold's moments are
-    the totals minus its own, and every value is scored in the same scan;
-    tasks hand back confusion counts only.
+    Class statistics do not depend on the smoothing, so a fold's training
+    moments are the totals minus its own, and every value is scored in the
+    same scan; tasks hand back counts only.
     """
-    marked = df.withColumn("__part", col(fold) * 1000 + col(label))
-    by_part = class_moments(marked, "__part")
-    models = []
-    for f in range(k):
+    held = [int(f) for f in held]
+    by_part = class_moments(df.withColumn("__part", col(fold) * 1000 + col(label)), "__part")
+    models = {}
+    for f in held:
         train: dict[float, Moments] = {}
         for key, m in by_part.items():
             if int(key) // 1000 != f:
                 c = float(int(key) % 1000)
                 train[c] = train[c] + m if c in train else m
-        models.append([bayes_from_moments(train, v) for v in values])
+        models[f] = [bayes_from_moments(train, v) for v in values]
 
     def count(batches):
-        held = np.zeros((k, len(values), 4))
+        sums = {f: np.zeros((len(values), 4)) for f in held}
         for batch in batches:
             if batch.empty:
                 continue
-            x, y, folds = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy(), batch["f"].to_numpy()
-            for f in np.unique(folds):
-                rows = folds == f
-                for j, model in enumerate(models[f]):
+            x, y, parts = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy(), batch["f"].to_numpy()
+            for f in np.unique(parts):
+                rows = parts == f
+                for j, model in enumerate(models[int(f)]):
                     called = model.classes[model.scores(x[rows]).argmax(1)]
-                    held[f, j] += np.bincount((2 * y[rows] + called).astype(int), minlength=4)
-        f, j = np.indices(held.shape[:2])
-        flat = held.reshape(-1, 4)
-        yield pd.DataFrame({"fold": f.ravel(), "trial": j.ravel(), "tn": flat[:, 0], "fp": flat[:, 1], "fn": flat[:, 2], "tp": flat[:, 3]})
-
-    rows = df.select(vector_to_array("features").alias("x"), col(label).cast("double").alias("y"), col(fold).cast("int").alias("f"))
+                    sums[int(f)][j] += np.bincount((2 * y[rows] + called).astype(int), minlength=4)
+        for f, block in sums.items():
+            yield pd.DataFrame(
+                {"fold": f, "trial": range(len(block)), "tn": block[:, 0], "fp": block[:, 1], "fn": block[:, 2], "tp": block[:, 3]}
+            )
+
+    rows = df.where(col(fold).isin(held)).select(
+        vector_to_array("features").alias("x"), col(label).cast("double").alias("y"), col(fold).cast("int").alias("f")
+    )
     counts = rows.mapInPandas(count, "fold int, trial int, tn double, fp double, fn double, tp double")
     counts = counts.groupBy("trial", "fold").agg(*[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
-    value = F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("trial") + 1)
-    return counts.withColumn("var_smoothing", value)
+    return counts.withColumn("var_smoothing", F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("trial") + 1))

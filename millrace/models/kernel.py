@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.moments import class_moments
 from millrace.session import col
+from millrace.sources.tables import keep_for_reuse
 
 
 class FourierMap:
@@ -48,9 +49,10 @@ def gamma_value(df: DataFrame, gamma: float | str) -> tuple[int, float]:
 def fit_kernel_classifier(df: DataFrame, c: float = 1.0, gamma: float | str = "scale", size: int = 256, seed: int = 42):
     d, g = gamma_value(df, gamma)
     lift = FourierMap(d, g, size, seed)
-    ready = lift.transform(df)
+    ready = keep_for_reuse(lift.transform(df))
     total = ready.agg(F.sum("weight")).first()[0]
-    model = LinearSVC(weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=100).fit(ready)
+    model = LinearSVC(weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=30, tol=1e-3).fit(ready)
+    ready.unpersist()
 
     def transform(rows: DataFrame) -> DataFrame:
         scored = model.transform(lift.transform(rows, "__lifted").withColumnRenamed("features", "__kept").withColumnRenamed("__lifted", "features"))
@@ -63,10 +65,11 @@ def fit_kernel_classifier(df: DataFrame, c: float = 1.0, gamma: float | str = "s
 def fit_kernel_regressor(df: DataFrame, c: float = 1.0, gamma: float | str = "scale", size: int = 256, seed: int = 42):
     d, g = gamma_value(df, gamma)
     lift = FourierMap(d, g, size, seed)
-    ready = lift.transform(df)
+    ready = keep_for_reuse(lift.transform(df))
     n = ready.count()
     estimator = LinearRegression(loss="huber", regParam=1.0 / (c * n), standardization=False, maxIter=200)
     model = estimator.fit(ready)
+    ready.unpersist()
 
     def transform(rows: DataFrame) -> DataFrame:
         scored = model.transform(lift.transform(rows, "__lifted").withColumnRenamed("features", "__kept").withColumnRenamed("__lifted", "features"))

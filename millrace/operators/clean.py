@@ -15,8 +15,14 @@ from millrace.operators.join import left_join_unique
 from millrace.session import col, present
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def drop_duplicate_rows(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """Keep one copy of each row; columns in ``order_by`` do not count and keep their smallest entry."""
+    if not order_by:
+        return df.dropDuplicates()
+    data = [col(c) for c in df.columns if c not in order_by]
+    first = F.min(F.struct(*[col(c) for c in order_by])).alias("__first")
+    grouped = df.groupBy(*data).agg(first)
+    return grouped.select(*[col(c) if c not in order_by else F.col("__first").getField(c).alias(c) for c in df.columns])
 
 
 def replace_columns(df: DataFrame, exprs: Mapping[str, Any]) -> DataFrame:

@@ -90,8 +90,9 @@ def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(F.col("y").alias("class"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("called"),
-                         F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0).alias("hit")),
-                F.struct(F.col("p"), F.lit(0).cast("bigint"), F.col("n"), F.lit(0).cast("bigint")),
+                         F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(F.lit(0).cast("bigint")).alias("hit")),
+                F.struct(F.col("p").alias("class"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("called"),
+                         F.lit(0).cast("bigint").alias("hit")),
             )
         )
     )

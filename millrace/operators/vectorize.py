@@ -74,14 +74,18 @@ def _fit(df, parts, fold, numeric, categorical, out):
         stages = [SQLTransformer(statement=f"SELECT *, {', '.join(pieces)} FROM __THIS__")]
         vectors = [c + "__z" for c in numeric]
         if categorical:
-            index = StringIndexerModel.from_arrays_of_labels(
-                labels, [c + "__c" for c in categorical], [c + "__i" for c in categorical], handleInvalid="keep"
+            # One model per column: a joint one would pad the shorter level lists.
+            index = PipelineModel(
+                [
+                    StringIndexerModel.from_labels(values, c + "__c", c + "__i", handleInvalid="keep")
+                    for c, values in zip(categorical, labels)
+                ]
             )
             hot = OneHotEncoder(
                 inputCols=[c + "__i" for c in categorical], outputCols=[c + "__v" for c in categorical], dropLast=True
             )
             # The level counts sit in the column metadata, so fitting runs no job.
-            stages += [index, hot.fit(index.transform(stages[0].transform(df)))]
+            stages += [*index.stages, hot.fit(index.transform(stages[0].transform(df)))]
             vectors += [c + "__v" for c in categorical]
         stages.append(VectorAssembler(inputCols=vectors, outputCol=out))
         models.append(PipelineModel(stages=stages))

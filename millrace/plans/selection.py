@@ -21,8 +21,7 @@ from pyspark.sql import types as T
 from millrace.models import candidates, gaussian
 from millrace.models.candidates import ROW_ID
 from millrace.operators import folds, metrics, vectorize
-from millrace.session import col
-from millrace.sources.tables import keep_for_reuse
+from millrace.session import col, cut_lineage
 
 CLASSIFICATION, REGRESSION = "clasificacion", "regresion"
 _METRICS = {
@@ -46,28 +45,28 @@ class FoldInput:
         part = self.parts[i]
         return part.where(F.col("fold") != i), part.where(F.col("fold") == i)
 
-    def release(self) -> None:
-        for part in self.parts:
-            part.unpersist()
-
 
 def fold_input(
     df: DataFrame, kind: str, target: str, key: str, numeric: Sequence[str], categorical: Sequence[str], k: int = 5, seed: int = 42
 ) -> FoldInput:
-    """Assign folds and fit every fold's preprocessing in a few shared jobs."""
+    """Assign folds and fit every fold's preprocessing in a few shared jobs.
+
+    The assembled tables are read by every candidate, so each is checkpointed:
+    later plans start from files instead of dragging the whole history along.
+    """
     rows = df.withColumns({ROW_ID: col(key).cast("bigint"), "label": col(target).cast("double")})
     if kind == CLASSIFICATION:
         rows = folds.stratified_folds(rows, "label", [ROW_ID], k, seed)
     else:
         rows = folds.hashed_folds(rows, [ROW_ID], k, seed)
-    rows = keep_for_reuse(rows)
+    rows = cut_lineage(rows)
     vectorizers = vectorize.fit_fold_vectorizers(rows, "fold", k, numeric, categorical)
     weights = [F.lit(1.0)] * k
     if kind == CLASSIFICATION:
         counted = rows.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()
         weights = [_fold_weight([r for r in counted if r["fold"] != i]) for i in range(k)]
     parts = [
-        keep_for_reuse(v.transform(rows).select(ROW_ID, "features", "label", w.alias("weight"), "fold"))
+        cut_lineage(v.transform(rows).select(ROW_ID, "features", "label", w.alias("weight"), "fold"))
         for v, w in zip(vectorizers, weights)
     ]
     return FoldInput(kind, k, parts)
@@ -108,11 +107,7 @@ def fold_scores(data: FoldInput, fit: candidates.Fit, parallelism: int = 4) -> l
 
     with ThreadPoolExecutor(parallelism) as pool:
         predicted = list(pool.map(one, range(data.k)))
-    together = keep_for_reuse(reduce(lambda a, b: a.unionByName(b), predicted))
-    try:
-        return evaluate(together, data.kind, ["fold"])
-    finally:
-        together.unpersist()
+    return evaluate(cut_lineage(reduce(lambda a, b: a.unionByName(b), predicted)), data.kind, ["fold"])
 
 
 def cross_validate(data: FoldInput, name: str, params: Mapping[str, Any] | None = None, parallelism: int = 4) -> dict[str, Any]:
@@ -192,10 +187,7 @@ def _bayes_scores(data: FoldInput, values: Sequence[float]) -> list[float]:
     """Mean F1 of every smoothing value; one sweep per fold's features serves all values."""
     total = np.zeros(len(values))
     for i in range(data.k):
-        marked = data.parts[i].withColumn("held", (F.col("fold") != i).cast("int"))
-        counts = gaussian.smoothing_sweep(marked, values, "held", 1)
-        rates = metrics.with_rates(counts.where(F.col("fold") == 0)).collect()
-        for r in rates:
+        for r in metrics.with_rates(gaussian.smoothing_sweep(data.parts[i], values, "fold", [i])).collect():
             total[r["trial"]] += r["f1"]
     return list(total / data.k)
 
@@ -235,13 +227,13 @@ def tune(
     spaces = spaces or (candidates.CLASSIFIER_SPACES if kind == CLASSIFICATION else candidates.REGRESSOR_SPACES)
     rows = df.withColumns({ROW_ID: col(key).cast("bigint"), "label": col(target).cast("double")})
     train, test = folds.holdout(rows, [ROW_ID], test_size, "label" if kind == CLASSIFICATION else None, seed)
-    train, test = keep_for_reuse(train), keep_for_reuse(test)
+    train, test = cut_lineage(train), cut_lineage(test)
     data = fold_input(train, kind, "label", ROW_ID, numeric, categorical, k, seed)
     vectorizer = vectorize.fit_vectorizer(train, numeric, categorical)
     ready = vectorizer.transform(train).select(ROW_ID, "features", "label")
     ready = vectorize.balanced_weights(ready, "label") if kind == CLASSIFICATION else ready.withColumn("weight", F.lit(1.0))
-    ready = keep_for_reuse(ready)
-    held = keep_for_reuse(vectorizer.transform(test).select(ROW_ID, "features", "label"))
+    ready = cut_lineage(ready)
+    held = cut_lineage(vectorizer.transform(test).select(ROW_ID, "features", "label"))
 
     def held_out(fit) -> tuple[dict[str, Any], candidates.Apply]:
         apply = fit(ready)
@@ -270,7 +262,6 @@ def tune(
             fitted.append((score if score is not None else -np.inf, entry, apply))
     _, entry, apply = max(fitted, key=lambda item: item[0])
     final = {**entry, "modelo_final": entry["modelo"], "criterio_seleccion": f"max_cv_{_MAIN[kind]}" if kind == CLASSIFICATION else f"min_cv_{_MAIN[kind]}"}
-    data.release()
     return Tuned(
         _frame(spark, random_rows, _search_schema("n_iter")),
         _frame(spark, grid_rows, _search_schema("n_combinaciones")),

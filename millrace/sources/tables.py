@@ -10,8 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.numbers import to_number
+from millrace.session import col
+
 ROW_ORDER = ("_file", "_block", "_row")
 
+# Words a CSV cell may use for "missing".
+MISSING_WORDS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -25,6 +34,7 @@ def read_csv(
     sep: str = ",",
     keep_order: bool = False,
     keep_corrupt: bool = False,
+    missing_words: Sequence[str] = MISSING_WORDS,
 ) -> DataFrame:
     """Scan CSV as text; typing belongs to the cleaning step.
 
@@ -43,9 +53,14 @@ def read_csv(
             reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option("mode", "PERMISSIVE")
         reader = reader.schema(schema)
     df = reader.csv(path)
+    if missing_words:
+        texts = [c for c in df.columns if c != "_corrupt_record"]
+        order = ["_metadata"] if keep_order else []
+        known = {c: F.when(~col(c).isin(*missing_words), col(c)).alias(c) for c in texts}
+        df = df.select(*[known.get(c, col(c)) for c in df.columns], *order)
     if keep_order:
         df = df.select(
-            "*",
+            *[col(c) for c in df.columns if c != "_metadata"],
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_row"),
@@ -53,6 +68,19 @@ def read_csv(
     return df
 
 
+def typed_by_content(df: DataFrame, skip: Sequence[str] = ROW_ORDER) -> DataFrame:
+    """Turn text columns that hold nothing but numbers into doubles, found by one aggregate."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
+    if not texts:
+        return df
+    aggs = []
+    for i, c in enumerate(texts):
+        aggs += [F.count(col(c)).alias(f"n{i}"), F.count(to_number(col(c))).alias(f"k{i}")]
+    row = df.agg(*aggs).first()
+    numeric = [c for i, c in enumerate(texts) if 0 < row[f"n{i}"] == row[f"k{i}"]]
+    return df.withColumns({c: to_number(col(c)) for c in numeric}) if numeric else df
+
+
 def detect_encoding(spark: SparkSession, path: str | Sequence[str]) -> str:
     """UTF-8 when every line is valid UTF-8, else latin-1; lines are checked in parallel."""
     lines = spark.read.option("encoding", "UTF-8").text(path)
