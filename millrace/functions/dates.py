@@ -11,19 +11,25 @@ from millrace.functions.text import strip
 # Words that stand for a missing date in the sources.
 MISSING_DATE_WORDS = ("nan", "None", "", "NaT")
 
-# Each entry: pattern the text must match, format used to read it. A day-first
-# slash date and an ISO date are told apart by shape, never by row order.
-DATE_SHAPES = (
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-)
 
+def parse_date(c: Column) -> Column:
+    """Read ``dd/MM/yyyy`` and ``yyyy-MM-dd`` dates; anything else is null.
 
-def parse_date(c: Column, shapes=DATE_SHAPES) -> Column:
-    """Read dates of mixed spelling; what fits no shape is null."""
+    The two spellings are told apart by their separator, never by row order,
+    so the result does not depend on partitioning. A day-first date is turned
+    round and both go through the same native cast.
+    """
     text = strip(c.cast("string"))
-    text = F.when(~text.isin(*MISSING_DATE_WORDS), text)
-    return F.coalesce(*[F.when(text.rlike(p), F.try_to_timestamp(text, F.lit(f)).cast("date")) for p, f in shapes])
+    known = ~text.isin(*MISSING_DATE_WORDS)
+    day_first = F.concat(
+        F.split_part(text, F.lit("/"), F.lit(3)), F.lit("-"),
+        F.split_part(text, F.lit("/"), F.lit(2)), F.lit("-"),
+        F.split_part(text, F.lit("/"), F.lit(1)),
+    )
+    is_day_first = text.contains("/") & (F.split_part(text, F.lit("/"), F.lit(4)) == "") & ~text.contains("-")
+    is_iso = text.like("%-%-%") & ~text.rlike("^[-+]|[T/ ]")
+    turned = F.when(is_day_first & ~text.contains(" ") & ~text.contains("T"), day_first).when(is_iso, text)
+    return F.when(known, turned.try_cast("date"))
 
 
 def days_between(start: Column, end: Column, low: int = 0, high: int = 60) -> Column:

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_SPACE = r"^\s+|\s+$"
+# Every character that counts as white space at the edge of a text.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _LETTER_BORDER = r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})"
 
 
 def strip(c: Column) -> Column:
-    """Remove every kind of leading and trailing white space (``trim`` only knows blanks)."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    """Remove every kind of leading and trailing white space (plain ``trim`` only knows blanks)."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def title(c: Column) -> Column:
@@ -19,8 +23,10 @@ def title(c: Column) -> Column:
 
     ``initcap`` breaks words at blanks only, so ``semi-remolque`` would keep a
     small ``r``; cutting at each letter border handles hyphens, digits and quotes.
+    Texts of letters and blanks only, the common case, need no cutting.
     """
-    return F.array_join(F.transform(F.split(c, _LETTER_BORDER), F.initcap), "")
+    pieces = F.array_join(F.transform(F.split(c, _LETTER_BORDER), F.initcap), "")
+    return F.when(c.rlike(r"[^\p{L} ]"), pieces).otherwise(F.initcap(c))
 
 
 def strip_title(c: Column) -> Column:

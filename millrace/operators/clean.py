@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import numbers, text
-from millrace.functions.dates import DATE_SHAPES, parse_date
+from millrace.functions.dates import parse_date
 from millrace.operators import stats
 from millrace.operators.join import left_join_unique
 from millrace.session import col, present
@@ -50,8 +50,8 @@ def fractional_ids(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
-def parse_dates(df: DataFrame, columns: Sequence[str], shapes=DATE_SHAPES) -> DataFrame:
-    return replace_columns(df, {c: parse_date(col(c), shapes) for c in present(df, columns)})
+def parse_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return replace_columns(df, {c: parse_date(col(c)) for c in present(df, columns)})
 
 
 def title_columns(df: DataFrame, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:

@@ -29,22 +29,28 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Exact number of distinct non-null values per column ordinal.
 
-    Each row becomes (ordinal, value text) pairs that are deduplicated by a
-    two-column hash aggregate. Counting all columns with ``count(DISTINCT)``
-    in one aggregate would instead carry every column in every key.
+    Each row becomes (ordinal, value) pairs, one set per storage kind, that
+    are deduplicated by a narrow hash aggregate. Counting all columns with
+    ``count(DISTINCT)`` in one aggregate would carry every column in every key.
     """
-    pairs = []
+    kinds: dict[str, list[Column]] = {}
     for i, f in enumerate(df.schema.fields):
         c = col(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = c + F.lit(0.0)  # one zero, not two
-        value = F.to_json(F.struct(c)) if isinstance(f.dataType, _NESTED) else c.cast("string")
-        pairs.append(F.struct(F.lit(i).alias("ordinal"), F.when(col(f.name).isNotNull(), value).alias("value")))
-    long = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
-    return long.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("distinct"))
-
-
-_NESTED = (T.ArrayType, T.MapType, T.StructType)
+        if isinstance(f.dataType, T.IntegralType):
+            kind, value = "bigint", c.cast("bigint")
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            kind, value = "double", c.cast("double")
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            kind, value = "string", F.when(c.isNotNull(), F.to_json(F.struct(c)))
+        else:
+            kind, value = "string", c.cast("string")
+        kinds.setdefault(kind, []).append(F.struct(F.lit(i).alias("ordinal"), value.alias("value")))
+    out = None
+    for pairs in kinds.values():
+        long = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+        counted = long.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("distinct"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
 
 
 def table_profile(df: DataFrame, name: str, approx_distinct: bool = False) -> DataFrame:

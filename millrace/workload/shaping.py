@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import numbers, text
 from millrace.operators import clean, features, folds, join, prepare
+from millrace.sources.tables import keep_for_reuse
 from millrace.workload.base import query
 
 _DIM_ORDER = ["origin", "km", "toll", "road"]
@@ -229,7 +230,7 @@ def ml_table(t):
     df = prepare.rename_by_fragment(df, "volum", "volumen")
     df = prepare.keep_identified(df, "id_envio")
     df = prepare.drop_columns(df, ["costo_total", "not_there", "vehicle_id", "sent", "weight_text", "discount"])
-    df = prepare.drop_prefixed(df, "tipo_carga_", keep=["tipo_carga_norm"])
+    df = keep_for_reuse(prepare.drop_prefixed(df, "tipo_carga_", keep=["tipo_carga_norm"]))
     df, _ = prepare.impute_medians(df, ["peso", "volumen"])
     df, _ = prepare.impute_modes(df, ["cargo", "route_id"])
     return prepare.keep_eligible(df, {"peso": (1000.0, 100000.0)})

@@ -202,7 +202,8 @@ def test_regressors_beat_the_mean(spark, labelled, name):
 
 
 def test_unsupported_trial_counts_as_missing(labelled):
-    data = selection.fold_input(labelled.withColumn("a", F.col("x")[0]), selection.CLASSIFICATION, "label", "row_id", ["a"], [], k=2)
+    rows = labelled.select("row_id", "label", F.col("x")[0].alias("a"))
+    data = selection.fold_input(rows, selection.CLASSIFICATION, "label", "row_id", ["a"], [], k=2)
     row = selection.cross_validate(data, "15_SGDClassifier", {"loss": "modified_huber"})
     assert "no distributed solver" in row["error"] and row.get("f1") is None
     params, score = selection.search(data, "12_LinearDiscriminantAnalysis", [{"shrinkage": 0.0}, {"shrinkage": 0.5}])
