@@ -6,30 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import clip
-from millrace.functions.text import strip
 
-# Words that stand for a missing date in the sources.
-MISSING_DATE_WORDS = ("nan", "None", "", "NaT")
+_DAY_FIRST = r"(?U)^\s*([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\s*$"
+_ISO = r"(?U)^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s*$"
 
 
 def parse_date(c: Column) -> Column:
     """Read ``dd/MM/yyyy`` and ``yyyy-MM-dd`` dates; anything else is null.
 
-    The two spellings are told apart by their separator, never by row order,
-    so the result does not depend on partitioning. A day-first date is turned
-    round and both go through the same native cast.
+    The two spellings are told apart by shape, never by row order, so the
+    result does not depend on partitioning. A day-first date is turned round
+    and both go through the same native cast; words for "missing" fit neither.
     """
-    text = strip(c.cast("string"))
-    known = ~text.isin(*MISSING_DATE_WORDS)
-    day_first = F.concat(
-        F.split_part(text, F.lit("/"), F.lit(3)), F.lit("-"),
-        F.split_part(text, F.lit("/"), F.lit(2)), F.lit("-"),
-        F.split_part(text, F.lit("/"), F.lit(1)),
-    )
-    is_day_first = text.contains("/") & (F.split_part(text, F.lit("/"), F.lit(4)) == "") & ~text.contains("-")
-    is_iso = text.like("%-%-%") & ~text.rlike("^[-+]|[T/ ]")
-    turned = F.when(is_day_first & ~text.contains(" ") & ~text.contains("T"), day_first).when(is_iso, text)
-    return F.when(known, turned.try_cast("date"))
+    turned = F.regexp_replace(c.cast("string"), _DAY_FIRST, "$3-$2-$1")
+    return F.when(turned.rlike(_ISO), turned.try_cast("date"))
 
 
 def days_between(start: Column, end: Column, low: int = 0, high: int = 60) -> Column:
