@@ -112,10 +112,11 @@ def drop_outliers(df: DataFrame, columns: Sequence[str], multiplier: float = 2.0
     """Remove rows outside the fence of any column; missing values stay.
 
     The fences of all columns come from the unfiltered table and enter the
-    filter as literals, so the filter can be pushed down to the scan.
+    filter as literals in a form that Parquet scans can use.
     """
-    fences = stats.tukey_fences(df, present(df, columns), multiplier)
-    return df.where(~_beyond(fences)) if fences else df
+    for c, (low, high) in stats.tukey_fences(df, present(df, columns), multiplier).items():
+        df = df.where(col(c).isNull() | ((col(c) >= F.lit(low)) & (col(c) <= F.lit(high))))
+    return df
 
 
 def _beyond(fences: Mapping[str, tuple[float, float]]):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.stats import BUCKET_ROWS, running_totals
+from millrace.operators.stats import BUCKET_ROWS, MAX_BUCKETS, running_totals
 from millrace.session import col
 
 
@@ -33,7 +34,12 @@ def stratified_folds(
     table, so the rank is built from ranges of the order, not one class window.
     """
     ordered = df.withColumn("__order", _order(keys, seed)).withColumn("__one", F.lit(1))
-    ranked = running_totals(ordered, "__order", ["__one"], [label], rows_per_bucket, tie=list(keys))
+    cuts = None
+    if seed is not None:
+        # Hashes are spread evenly, so equal steps cut them into even ranges without a look at the data.
+        parts = min(math.ceil(df.count() / rows_per_bucket), MAX_BUCKETS)
+        cuts = [-(2.0**63) + i * (2.0**64 / parts) for i in range(1, parts)]
+    ranked = running_totals(ordered, "__order", ["__one"], [label], rows_per_bucket, tie=list(keys), cuts=cuts)
     return ranked.select(*[col(c) for c in df.columns], F.pmod("__one_before", F.lit(k)).cast("int").alias(name))
 
 

@@ -67,8 +67,9 @@ def _ineligible(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> dic
 
 def keep_eligible(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> DataFrame:
     """Keep rows inside every range; a missing value removes the row."""
-    for broken in _ineligible(df, ranges).values():
-        df = df.where(~broken)
+    for c, (low, high) in ranges.items():
+        if c in df.columns:
+            df = df.where(col(c).between(low, high))
     return df
 
 

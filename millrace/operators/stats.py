@@ -27,7 +27,7 @@ DIRECT_ROWS = 100_000
 LIST_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
 BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 2_048
+MAX_BUCKETS = 20_000
 
 
 def _as_columns(columns: Sequence[str] | Mapping[str, Column]) -> dict[str, Column]:
@@ -215,7 +215,8 @@ def split_points(df: DataFrame, value: str, rows_per_bucket: int = BUCKET_ROWS)
     if buckets <= 1:
         return []
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    return sorted(set(df.agg(F.approx_percentile(v, probs, F.lit(SKETCH_ACCURACY))).first()[0]))
+    accuracy = F.lit(max(SKETCH_ACCURACY, 10 * buckets))
+    return sorted(set(df.agg(F.approx_percentile(v, probs, accuracy)).first()[0]))
 
 
 def with_bucket(df: DataFrame, value: str, cuts: Sequence[float], name: str = "__bucket") -> DataFrame:

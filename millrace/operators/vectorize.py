@@ -116,7 +116,9 @@ def _level_counts(df: DataFrame, fold: str | None, categorical: Sequence[str]) -
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Weight n / (classes * n_class), from one tiny aggregate."""
-    rows = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LEVELS).collect()
+    rows = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LEVELS + 1).collect()
+    if len(rows) > MAX_LEVELS:
+        raise ValueError(f"{label!r} has too many values to be a class label")
     total, classes = sum(r["n"] for r in rows), len(rows)
     weight = F.lit(1.0)
     for r in rows:

@@ -214,3 +214,24 @@ def test_inventory_and_audit(spark):
 def test_calendar(spark):
     df = spark.createDataFrame([(dt.date(2023, 1, 1),)], "d date")
     assert rows(features.calendar(df, "d", {"month": "m", "weekday": "w", "quarter": "q"}).drop("d")) == [(1.0, 6.0, 1.0)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).select("id", (F.col("id") % 50).cast("double").alias("v"), F.lit("x").alias("wide")).write.parquet(path)
+    df = tables.read_stage(spark, path)
+    text = plan(clean.drop_outliers(df, ["v"], 2.0).select("id"))
+    assert "Or(IsNull(v)," in text and "ReadSchema: struct<id:bigint,v:double>" in text
+    text = plan(prepare.keep_eligible(df, {"v": (1.0, 5.0)}).select("id"))
+    assert "GreaterThanOrEqual(v,1.0)" in text and "LessThanOrEqual(v,5.0)" in text
+
+
+def test_no_cross_join_in_star_plan(spark):
+    import __spark_entry__ as contract
+
+    text = plan(contract.entry(spark))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
