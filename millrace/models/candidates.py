@@ -7,7 +7,7 @@ function that adds ``prediction`` (and ``score`` for classifiers) to a table.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.ml.classification import (
@@ -26,6 +26,7 @@ from millrace.models import boost, gaussian, kernel, linear
 from millrace.operators import stats
 from millrace.operators.join import left_join_unique
 from millrace.operators.nearest import as_points, average, nearest_neighbours, vote
+from millrace.session import col
 
 Apply = Callable[[DataFrame], DataFrame]
 Fit = Callable[[DataFrame], Apply]
@@ -35,18 +36,22 @@ DEEPEST_TREE = 30  # Spark's own limit
 DEFAULT_DEPTH = 12  # used where the original grows trees without limit
 
 
+def keep_result_columns(out: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The given columns, the prediction and, where the model has one, the score of class 1."""
+    kept = [col(c) for c in names]
+    for scores in ("probability", "rawPrediction"):
+        if scores in out.columns:
+            return out.select(*kept, "prediction", vector_to_array(scores)[1].alias("score"))
+    return out.select(*kept, "prediction")
+
+
 def _clean(model) -> Apply:
     """Apply a Spark ML model and keep only the columns the evaluation needs."""
 
     def transform(rows: DataFrame) -> DataFrame:
-        out = model.transform(rows)
-        names = [F.col(c) for c in rows.columns]
-        if "probability" in out.columns:
-            return out.select(*names, "prediction", vector_to_array("probability")[1].alias("score"))
-        if "rawPrediction" in out.columns:
-            return out.select(*names, "prediction", vector_to_array("rawPrediction")[1].alias("score"))
-        return out.select(*names, "prediction")
+        return keep_result_columns(model.transform(rows), rows.columns)
 
+    transform.model = model
     return transform
 
 

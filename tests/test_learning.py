@@ -4,7 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.models import candidates, gaussian, linear
+from millrace.models import candidates, gaussian, linear, store
 from millrace.operators import cluster, density, graph, nearest, vectorize
 from millrace.plans import selection
 
@@ -229,3 +229,23 @@ def test_search_sizes():
     assert [min(12, sizes[n][0]) for n in ("11_GaussianNB", "02_LogisticRegression", "15_SGDClassifier", "06_KNeighborsRegressor", "04_Lasso", "05_ElasticNet")] == [7, 12, 12, 12, 7, 12]
     assert [sizes[n][1] for n in ("11_GaussianNB", "02_LogisticRegression", "15_SGDClassifier", "06_KNeighborsRegressor", "04_Lasso", "05_ElasticNet")] == [5, 4, 12, 20, 4, 12]
     assert selection.params_json({"b": None, "a": 1e-11}) == '{"modelo__a": 1e-11, "modelo__b": null}'
+
+
+@pytest.mark.parametrize("name", ["11_GaussianNB", "13_QuadraticDiscriminantAnalysis", "02_LogisticRegression"])
+def test_saved_model_scores_alike(spark, tmp_path, name):
+    rng = np.random.default_rng(6)
+    rows = [(i, float(rng.normal()), "ab"[i % 2], float(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id bigint, n double, t string, label double")
+    plan = vectorize.fit_vectorizer(df, ["n"], ["t"])
+    ready = plan.transform(df).select("row_id", "features", "label").withColumn("weight", F.lit(1.0))
+    apply = candidates.build(name)(ready)
+    store.save_fitted(apply, plan, str(tmp_path / "m"))
+    again = store.load_fitted(spark, str(tmp_path / "m"))
+    fresh = {r["row_id"]: r["score"] for r in apply(ready).collect()}
+    saved = {r["row_id"]: r["score"] for r in again(df.drop("label")).collect()}
+    assert saved == pytest.approx(fresh)
+
+
+def test_row_keeping_models_have_no_saved_form(labelled, tmp_path):
+    with pytest.raises(ValueError):
+        store.save_fitted(candidates.build("03_KNeighborsClassifier")(labelled), None, str(tmp_path / "k"))
