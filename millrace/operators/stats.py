@@ -36,6 +36,11 @@ def _as_columns(columns: Sequence[str] | Mapping[str, Column]) -> dict[str, Colu
     return {c: col(c) for c in columns}
 
 
+def _number(c: Column) -> Column:
+    """As double, with NaN read as missing like everywhere else here."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str] | Mapping[str, Column],
@@ -53,7 +58,7 @@ def quantiles(
         return {}
     names = list(exprs)
     ids = range(len(names))
-    work = df.select(*[exprs[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
+    work = df.select(*[_number(exprs[n]).alias(f"v{i}") for i, n in enumerate(names)])
     first = {(i, -math.inf, math.inf): sorted({q for p in probs for q in _around(p)}) for i in ids}
     row = work.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in ids], *_sketches(first)).first()
     sizes = {i: row[f"n{i}"] for i in ids}
@@ -286,8 +291,9 @@ def group_medians(
     its values; the two middle ranks are then located by running totals.
     """
     counted = (
-        df.where(col(by).isNotNull() & col(value).isNotNull())
-        .groupBy(col(by).alias("__g"), col(value).cast("double").alias("__v"))
+        df.select(col(by).alias("__g"), _number(col(value)).alias("__v"))
+        .where(F.col("__g").isNotNull() & F.col("__v").isNotNull())
+        .groupBy("__g", "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     cuts = split_points(df.select(by, value), value, rows_per_bucket)

@@ -86,3 +86,11 @@ def test_running_totals_do_not_depend_on_ranges(spark):
 def test_modes_share_one_scan(spark):
     df = spark.range(10).select((F.col("id") % 3).alias("a"), (F.col("id") % 2).alias("b"))
     assert stats.modes(df, ["a", "b"]) == {"a": 0, "b": 0}
+
+
+@pytest.mark.parametrize("direct_rows", [100, 2])
+def test_nan_counts_as_missing(spark, direct_rows):
+    df = frame(spark, [1.0, 2.0, 3.0, 4.0, float("nan"), float("nan"), None])
+    assert stats.quantiles(df, ["v"], [0.5, 1.0], direct_rows=direct_rows, list_rows=1)["v"] == [2.5, 4.0]
+    grouped = stats.group_medians(df.withColumn("g", F.lit("a")), "g", "v")
+    assert grouped.first()["median"] == 2.5
