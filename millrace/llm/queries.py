@@ -1,6 +1,6 @@
 """All queries of this folder; importing it fills the registry."""
 
-from millrace.llm import bpe, decontaminate, ngram_join, sharding  # noqa: F401
+from millrace.llm import bpe, decontaminate, ngram_join, pivots, sharding  # noqa: F401
 from millrace.llm.common import REGISTRY
 
 
