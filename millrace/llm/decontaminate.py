@@ -89,10 +89,11 @@ class Decontaminator:
         keyed = self._keyed(docs)
         scan = _with_window_hashes(keyed.select(*_KEY, words_of(F.col("text")).alias("words")), self.lengths)
         if len(self.lengths) == 1:
-            rows = scan.select(*_KEY, F.posexplode(f"g{self.lengths[0]}").alias("start", "h")).withColumn("length", F.lit(self.lengths[0]))
+            rows = scan.select(*_KEY, F.posexplode_outer(f"g{self.lengths[0]}").alias("start", "h")).withColumn("length", F.lit(self.lengths[0]))
         else:
             tagged = F.concat(*[F.transform(f"g{n}", lambda h, i, n=n: F.struct(i.alias("start"), h.alias("h"), F.lit(n).alias("length"))) for n in self.lengths])
-            rows = scan.select(*_KEY, F.inline(tagged))
+            rows = scan.select(*_KEY, F.inline_outer(tagged))
+        # The outer forms keep Spark from deriving a filter that would compute the arrays once more below.
         found = stage(rows.join(self._side(self._set()), ["h", "length"]).select(*_KEY, "start", "length").distinct(), "bench-hits")
         few = found.count() <= self.broadcast_rows // 4
         places = found.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "length")).alias("places"))
@@ -100,7 +101,7 @@ class Decontaminator:
         texts = keyed.dropDuplicates(["doc_id", "text_key"]) if not few else keyed
         joined = texts.alias("d").join((F.broadcast(places) if few else places).alias("p"), same).select("d.doc_id", "d.text_key", "d.text", "p.places")
         spelled = joined.select(*_KEY, "places", words_of(F.col("text")).alias("words"))
-        seen = spelled.select(*_KEY, F.inline(F.transform("places", lambda p: F.struct(p.start.alias("start"), p.length.alias("length"), F.slice("words", p.start + 1, p.length).alias("words")))))
+        seen = spelled.select(*_KEY, F.inline_outer(F.transform("places", lambda p: F.struct(p.start.alias("start"), p.length.alias("length"), F.slice("words", p.start + 1, p.length).alias("words")))))
         owners = self.windows.groupBy("words", "length").agg(F.collect_set("item_id").alias("item_ids"))
         return stage(seen.join(self._side(owners), ["words", "length"]).select(*_KEY, "start", "length", "item_ids").distinct(), "bench-verified")
 
