@@ -247,12 +247,14 @@ class Model:
 
 
 def _adam(p, g, state, rate):
+    """One step; the tables move slower than the network, or they learn the sample by heart."""
     state["t"] += 1
     for k, v in g.items():
+        pace = rate * (0.1 if k in ("word", "char") else 1.0)
         m, s = state.setdefault(k, (np.zeros_like(p[k]), np.zeros_like(p[k])))
         m[:] = 0.9 * m + 0.1 * v
         s[:] = 0.999 * s + 0.001 * v**2
-        p[k] -= rate * (m / (1 - 0.9 ** state["t"])) / (np.sqrt(s / (1 - 0.999 ** state["t"])) + 1e-8)
+        p[k] -= pace * (m / (1 - 0.9 ** state["t"])) / (np.sqrt(s / (1 - 0.999 ** state["t"])) + 1e-8)
 
 
 def train(texts: list[str], labels: list[int], bits: int = 18, epochs: int = 6, rounds: int = 2, clean_windows: int = 6, batch: int = 256, rate: float = 0.01, seed: int = 7) -> Model | None:
@@ -316,12 +318,17 @@ def train(texts: list[str], labels: list[int], bits: int = 18, epochs: int = 6,
             for i in range(0, len(rows), batch):
                 some = order[i : i + batch]
                 x, m = batch_of(rows[some])
+                shown = (rng.random((*x.shape[:2], 1)) < 0.5).astype(np.float32)  # half of the tokens show their fixed inputs only
+                x[..., 5:] *= shown
                 g, dx = network.gradients(x, m, target[some], weight[some])
+                dx[..., 5:] *= shown
                 dx = dx.transpose(1, 0, 2)
                 for name, part, index in (("word", dx[..., 5 : 5 + e], word_rows), ("char", dx[..., 5 + e :], char_rows)):
                     g[name] = np.zeros_like(network.p[name])
                     np.add.at(g[name], index[token[rows[some]]], part)
                 _adam(network.p, g, state, rate / (1 + round_))
+    for name in ("word", "char"):
+        network.p[name] *= np.float32(0.5)
     value = np.concatenate([network.forward(*batch_of(np.arange(i, min(i + 2048, len(start))))) for i in range(0, len(start), 2048)])
     best = top_window(value)
     scale, shift = _calibrate(value[best].astype(float), toxic[text[best]])
