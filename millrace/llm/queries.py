@@ -1,6 +1,6 @@
 """All queries of this folder; importing it fills the registry."""
 
-from millrace.llm import bpe, decontaminate, langid, ngram_join, pivots, sharding, toxicity  # noqa: F401
+from millrace.llm import bpe, decontaminate, langid, ngram_join, pivots, sharding, template, toxicity  # noqa: F401
 from millrace.llm.common import REGISTRY
 
 
