@@ -228,8 +228,8 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encoded.select(key, "ids").mapInArrow(run, f"{key} {dict(encoded.dtypes)[key]}, decoded binary")
 
 
-def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of encoded rows; decoding as in :func:`decode`."""
+def digests(encoded: DataFrame, path: str, key: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256), and the ids if asked for; decoding as in :func:`decode`."""
     lookup = encoded.sparkSession.sparkContext.broadcast(_token_bytes(path))
 
     def run(batches):
@@ -241,9 +241,11 @@ def digests(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
             raw = memoryview(data)
             own = [hashlib.sha256(flat[4 * a : 4 * b]).hexdigest() for a, b in pairwise(offsets)]
             back = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in pairwise(ends)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(own), pa.array(back)], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = [batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(own), pa.array(back)] + [ids] * keep_ids
+            yield pa.RecordBatch.from_arrays(columns, [key, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
 
-    return encoded.select(key, "ids").mapInArrow(run, f"{key} {dict(encoded.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = f"{key} {dict(encoded.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded.select(key, "ids").mapInArrow(run, schema + ", ids array<int>" * keep_ids)
 
 
 @query("op5_bpe")

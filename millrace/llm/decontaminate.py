@@ -137,7 +137,8 @@ class Decontaminator:
             return docs
         same = F.expr("d.doc_id <=> h.doc_id and xxhash64(coalesce(d.text, '')) = h.text_key")
         if not spans:
-            return docs.alias("d").join(hits.select(*_KEY).distinct().alias("h"), same, "left_anti")
+            gone = stage(hits.select(*_KEY).distinct(), "bench-gone")
+            return docs.alias("d").join((F.broadcast(gone) if gone.count() <= self.broadcast_rows else gone).alias("h"), same, "left_anti").select(*docs.columns)
         gone = hits.select(*_KEY, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("at")).groupBy(*_KEY).agg(F.collect_set("at").alias("gone"))
         pieces = F.expr(r"regexp_extract_all(d.text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]*', 0)")
         head = F.expr(r"regexp_extract(d.text, '^[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]*', 0)")

@@ -118,6 +118,19 @@ def fit(docs: DataFrame, per_language: int = 1500, max_bytes: int = 65_536, **op
     return build_filters([r.text for r in rows], [r.lang for r in rows], **options)
 
 
+def _predict(filters: Filters, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    letter = regex.compile(r"\p{L}").search
+    names = np.array([*filters.languages, UNKNOWN], object)
+    known = np.array([bool(t and letter(t)) for t in texts.to_pylist()], bool) & bool(filters.languages)
+    best, score = np.full(len(known), len(filters.languages)), np.zeros(len(known))
+    if filters.languages:
+        with np.errstate(over="ignore"):
+            _, counts = popcounts(filters, *_lowered(texts))
+        best = np.where(known, np.argmax(counts, 1), best)
+        score = np.where(known, counts.max(1) / np.maximum(counts.sum(1), 1e-9), 0.0)
+    return names[best], score
+
+
 def identify(docs: DataFrame, filters: Filters, key: str = "doc_id") -> DataFrame:
     """(key, lang_pred, score) per row: the language with the most members, and its share of all members.
 
@@ -127,31 +140,30 @@ def identify(docs: DataFrame, filters: Filters, key: str = "doc_id") -> DataFram
     first language by name. Rows are scored apart from each other, so null or repeated keys are carried along; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(filters)
-    letter = regex.compile(r"\p{L}").search
 
     def run(batches):
-        filters = shared.value
-        names = np.array([*filters.languages, UNKNOWN], object)
         for batch in batches:
             for part in pieces(batch, "text", BLOCK_BYTES):
-                texts = part.column("text")
-                lettered = np.array([bool(t and letter(t)) for t in texts.to_pylist()])
-                with np.errstate(over="ignore"):
-                    _, counts = popcounts(filters, *_lowered(texts))
-                if len(filters.languages):
-                    best = np.argmax(counts, 1)
-                    sums = counts.sum(1)
-                    score = np.where(sums > 0, counts.max(1) / np.maximum(sums, 1e-9), 0.0)
-                else:
-                    best, score = np.zeros(len(lettered), int), np.zeros(len(lettered))
-                known = lettered & bool(len(filters.languages))
-                best = np.where(known, best, len(filters.languages))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names[best], pa.string()), pa.array(np.where(known, score, 0.0))], [key, "lang_pred", "score"])
+                names, score = _predict(shared.value, part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score)], [key, "lang_pred", "score"])
 
     rows = docs.select(key, F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, lang_pred string, score double")
 
 
+def reject(docs: DataFrame, filters: Filters) -> DataFrame:
+    """``docs`` with its own columns, without the rows of no known language (``und``)."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "text", BLOCK_BYTES):
+                names, _ = _predict(shared.value, part.column("text"))
+                yield part.filter(pa.array(names != UNKNOWN))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(modulus: int):
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(modulus)), F.lit(-1))
 

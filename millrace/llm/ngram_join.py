@@ -287,6 +287,21 @@ def ngram_components(docs: DataFrame, **options) -> DataFrame:
     return NgramJoin(docs, **options).components()
 
 
+def keep_one(docs: DataFrame, broadcast_rows: int = 2_000_000, **options) -> DataFrame:
+    """``docs`` with its own columns, and of each component the rows of its smallest id only.
+
+    Equal rows under one id are one document. Rows without id, words or text stay.
+    """
+    found = stage(ngram_components(docs, **options), "ngram-components")
+    gone = stage(found.where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct(), "ngram-gone")
+    kept = docs.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, "doc_id", "left_anti").select(*docs.columns)
+    again = docs.where("doc_id is not null and text is not null").groupBy("doc_id", F.xxhash64("text")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not again.head(1):
+        return kept
+    whole = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    return kept.where(whole).dropDuplicates(["doc_id", "text"]).unionByName(kept.where(~whole))
+
+
 # Fixed value: the white space that separates words.
 _SPACE = r"[^\x20\x09-\x0D]+"
 SQL = f"""

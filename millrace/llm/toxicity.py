@@ -383,6 +383,21 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFram
     return rows.mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, score double, predicted int")
 
 
+def reject(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` with its own columns, without the rows whose whole text scores at or above the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            for part in pieces(batch, "text", BLOCK_BYTES):
+                with np.errstate(over="ignore"):
+                    values = model.scores(part.column("text")) if model else np.zeros(part.num_rows)
+                yield part.filter(pa.array(values < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 @query("op9_toxicity")
 def op9(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text")
