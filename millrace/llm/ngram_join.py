@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import fmix, pieces, query, split_words, stage, table, word_hashes
 from millrace.operators.graph import connected_components
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -108,14 +108,26 @@ def _lists(rows: list[np.ndarray], kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(kind)))
 
 
+def size_steps() -> np.ndarray:
+    """Lower ends of size classes that grow by half each."""
+    steps = [1]
+    while steps[-1] < 1 << 40:
+        steps.append(max(steps[-1] + 1, steps[-1] * 3 // 2))
+    return np.array(steps)
+
+
 def _signatures(width: int, num: int, den: int, pivots: np.ndarray, ranks_of):
-    """One row per distinct set of a task: size, n-grams per fragment, and the prefix in global order."""
+    """One row per distinct set of a task: size, n-grams per fragment, and the prefix in global order.
+
+    ``homes`` are the size classes of the set: its own, and the one of the smallest set it may link with.
+    """
+    steps = size_steps()
 
     def run(batches):
         ranks, seen = np.frombuffer(ranks_of.value, np.uint8), set()
         for batch in batches:
             for part in pieces(batch, "text", BLOCK_BYTES):
-                prints, sizes, cells, prefixes = [], [], [], []
+                prints, sizes, cells, prefixes, homes = [], [], [], [], []
                 with np.errstate(over="ignore"):
                     for grams in shingle_sets(part.column("text"), width):
                         fp = _fingerprint(grams)
@@ -128,11 +140,12 @@ def _signatures(width: int, num: int, den: int, pivots: np.ndarray, ranks_of):
                         prints.append(fp)
                         sizes.append(n)
                         cells.append(np.bincount(np.searchsorted(pivots, keys, side="right"), minlength=len(pivots) + 1))
+                        homes.append(np.unique(np.searchsorted(steps, [(num * n + den - 1) // den, n], side="right")))
                         prefixes.append(grams[order[: n - (num * n + den - 1) // den + 1]].view(np.int64))
                 if prints:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(prints, pa.binary()), pa.array(sizes, pa.int32()), _lists(cells, np.int32), _lists(prefixes, np.int64)],
-                        ["fp", "n", "cells", "prefix"],
+                        [pa.array(prints, pa.binary()), pa.array(sizes, pa.int32()), _lists(cells, np.int32), _lists(prefixes, np.int64), _lists(homes, np.int32)],
+                        ["fp", "n", "cells", "prefix", "homes"],
                     )
 
     return run
@@ -167,13 +180,13 @@ class NgramJoin:
     """Links between documents whose n-gram sets have a Jaccard similarity of num/den or more.
 
     1. One scan gives each text its set size and fingerprint and counts all
-       n-grams in a sketch of fixed size (``buckets`` counters). The order
+       n-grams in a sketch (a counter for eight words, ``most_buckets`` at most). The order
        of n-grams is (sketched count, hash): any order is exact, a good one
        is fast. Equal sets collapse to one class.
     2. The order is cut by pivots of equal mass into ``fragments``. Each class
        keeps its counts per fragment and its prefix (the rarest n-grams, of
        which two similar sets share one).
-    3. Candidates share a prefix n-gram and pass the length, position and
+    3. Candidates share a prefix n-gram and a size class, and pass the length, position and
        fragment-count bounds, all of which are lossless. Overlaps are counted
        fragment by fragment and summed per pair.
     4. Groups of near copies are not expanded: first each n-gram's most
@@ -185,10 +198,12 @@ class NgramJoin:
     copies; other columns are ignored.
     """
 
-    def __init__(self, docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, fragments: int = 16, buckets: int = 1 << 22, chunks: int = 1024, broadcast_rows: int = 2_000_000):
+    def __init__(self, docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, fragments: int = 16, most_buckets: int = 1 << 24, chunks: int = 1024, broadcast_rows: int = 2_000_000):
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.width, self.num, self.den, self.broadcast_rows = width, num, den, broadcast_rows
+        size = self.docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        buckets = min(most_buckets, max(chunks, 1 << (size // 48).bit_length()))
         scan = stage(self.docs.mapInArrow(_scan(width, buckets, chunks), "doc_id long, n int, fp binary, chunk int, counts binary"), "ngram-scan")
         self.sets = scan.where("chunk is null").select("doc_id", "n", "fp")
         sketch = scan.where("chunk is not null").select("chunk", "counts").repartition("chunk")
@@ -197,9 +212,9 @@ class NgramJoin:
             ranks[row.chunk] = np.frombuffer(row.ranks, np.uint8)
         self.pivots = cut_points(ranks, fragments)
         self.ranks = self.spark.sparkContext.broadcast(ranks.tobytes())
-        made = self.docs.select("text").mapInArrow(_signatures(width, num, den, self.pivots, self.ranks), "fp binary, n int, cells array<int>, prefix array<long>")
-        first = made.groupBy("fp").agg(F.first("n").alias("n"), F.first("cells").alias("cells"), F.first("prefix").alias("prefix"))
-        self.classes = stage(first, "ngram-classes")
+        made = self.docs.select("text").mapInArrow(_signatures(width, num, den, self.pivots, self.ranks), "fp binary, n int, cells array<int>, prefix array<long>, homes array<int>")
+        first = made.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("n", "cells", "prefix", "homes")])
+        self.classes = stage(first.withColumn("id", F.monotonically_increasing_id()), "ngram-classes")
 
     def needed(self, a: str, b: str):
         """Least overlap of a linked pair: ceil(num * (a + b) / (num + den))."""
@@ -213,34 +228,33 @@ class NgramJoin:
         )
 
     def postings(self) -> DataFrame:
-        """(gram, fp, n, pos) of prefix n-grams that more than one class has, position from 1."""
-        rows = self.classes.select("fp", "n", F.posexplode("prefix").alias("at", "gram")).select("gram", "fp", "n", (F.col("at") + 1).alias("pos"))
-        hubs = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("pos", "n", "fp")).alias("hub")).where("df > 1").drop("df")
+        """(gram, id, n, pos) of prefix n-grams that more than one class of a size class has, position from 1."""
+        rows = self.classes.select("id", "n", "homes", F.posexplode("prefix").alias("at", "gram")).select("id", "n", (F.col("at") + 1).alias("pos"), "gram", F.explode("homes").alias("home"))
+        rows = rows.select(F.xxhash64("gram", "home").alias("gram"), "id", "n", "pos").repartition("gram")
+        hubs = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("pos", "n", "id")).alias("hub")).where("df > 1").drop("df")
         return stage(rows.join(hubs, "gram"), "ngram-postings")
 
     def star_pairs(self, postings: DataFrame) -> DataFrame:
         """Each n-gram's most central class (fewest rarer n-grams) against its other classes."""
-        both = postings.select(F.col("fp").alias("b"), F.col("hub.fp").alias("a"), F.struct("n", "pos").alias("x"), F.struct("hub.n", "hub.pos").alias("y"))
+        both = postings.select(F.col("id").alias("b"), F.col("hub.id").alias("a"), F.struct("n", "pos").alias("x"), F.struct("hub.n", "hub.pos").alias("y"))
         near = both.where(F.col("a") != F.col("b")).where(self.may_link("x", "y"))
         return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def cross_pairs(self, postings: DataFrame, roots: DataFrame) -> DataFrame:
         """All candidate pairs whose classes are in different components so far."""
-        rows = postings.drop("hub").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        rows = postings.drop("hub").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
         several = rows.groupBy("gram").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("gram")
-        rows = rows.join(several, "gram")
-        sides = rows.select("gram", "root").distinct()
-        links = sides.alias("s").join(sides.alias("t"), F.expr("s.gram = t.gram and s.root < t.root")).select(F.col("s.gram").alias("gram"), F.col("s.root").alias("left"), F.col("t.root").alias("right"))
-        x = rows.select("gram", F.col("root").alias("left"), F.col("fp").alias("a"), F.struct("n", "pos").alias("x"))
-        y = rows.select("gram", F.col("root").alias("right"), F.col("fp").alias("b"), F.struct("n", "pos").alias("y"))
-        pairs = links.join(x, ["gram", "left"]).join(y, ["gram", "right"]).where(self.may_link("x", "y"))
+        rows = stage(rows.join(several, "gram"), "ngram-several")
+        x = rows.select("gram", F.col("root").alias("r"), F.col("id").alias("a"), F.struct("n", "pos").alias("x"))
+        y = rows.select("gram", F.col("root").alias("s"), F.col("id").alias("b"), F.struct("n", "pos").alias("y"))
+        pairs = x.join(y, "gram").where(F.col("r") < F.col("s")).where(self.may_link("x", "y"))
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """Keep pairs whose counts per fragment leave room for the overlap."""
-        side = self.classes.select("fp", "n", "cells")
-        a = side.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca"))
-        b = side.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb"))
+        side = self.classes.select("id", "n", "cells")
+        a = side.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("cells").alias("ca"))
+        b = side.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cb"))
         rows = pairs.join(a, "a").join(b, "b")
         room = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
         return rows.where(room >= self.needed("na", "nb")).select("a", "b", "na", "nb")
@@ -248,15 +262,16 @@ class NgramJoin:
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Partial overlaps counted per fragment and summed per pair; the links that reach the threshold."""
         pairs = stage(self.bounded(pairs), f"ngram-{name}-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = stage(self.classes.select("id", "fp").join(wanted, "id"), f"ngram-{name}-wanted")
         texts = self.sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(wanted, "fp").select("doc_id")
         texts = stage(texts.distinct(), f"ngram-{name}-texts")
         few = texts.count() <= self.broadcast_rows
         texts = self.docs.join(F.broadcast(texts) if few else texts, "doc_id").select("text")
         cut = texts.mapInArrow(_segments(self.width, self.pivots, self.ranks), "fp binary, fragment int, grams array<long>")
-        cut = stage(cut.dropDuplicates(["fp", "fragment"]), f"ngram-{name}-segments")
-        left = cut.select(F.col("fp").alias("a"), "fragment", F.col("grams").alias("ga"))
-        right = cut.select(F.col("fp").alias("b"), "fragment", F.col("grams").alias("gb"))
+        cut = stage(cut.dropDuplicates(["fp", "fragment"]).join(wanted, "fp").drop("fp"), f"ngram-{name}-segments")
+        left = cut.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("ga"))
+        right = cut.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("gb"))
         partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("part"))
         total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap"))
         linked = F.expr(f"{self.den}L * overlap >= {self.num}L * (na + nb - overlap)")
@@ -264,7 +279,7 @@ class NgramJoin:
 
     def roots(self, links: DataFrame) -> DataFrame:
         nodes = links.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        return stage(connected_components(nodes, links).select(F.col("id").alias("fp"), F.col("component").alias("root")), "ngram-roots")
+        return stage(connected_components(nodes, links).select("id", F.col("component").alias("root")), "ngram-roots")
 
     def components(self) -> DataFrame:
         """(doc_id, n_shingles, component_id), a row per input row."""
@@ -274,8 +289,8 @@ class NgramJoin:
         rest = self.verified(self.cross_pairs(postings, roots), "cross")
         if rest.head(1):
             roots = self.roots(links.unionByName(rest))
-        class_of = self.sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("low"))
-        joined = class_of.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        lows = self.sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("low")).join(self.classes.select("fp", "id"), "fp")
+        joined = lows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
         lowest = joined.groupBy("root").agg(F.min("low").alias("component_id"))
         known = joined.join(lowest, "root").select("fp", "component_id")
         own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
