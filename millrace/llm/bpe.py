@@ -113,30 +113,69 @@ def _words(pattern: str):
     return run
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Unsigned numbers as compressed byte planes (equal bytes of all numbers together)."""
+    planes = [np.ascontiguousarray(c.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes() for c in columns]
+    return zstandard.compress(b"".join(planes), 3)
+
+
+def _unpack(packed: bytes, *sizes: int) -> list[np.ndarray]:
+    raw, at, out = zstandard.decompress(packed), 0, []
+    for n in sizes:
+        planes = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
+        out.append(np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1).astype(np.int64))
+        at += 4 * n
+    return out
+
+
 def _layouts(pattern: str):
     def run(batches):
         for block, keys, counts, codes, _ in _blocks(batches, pattern):
-            planes = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T)  # equal bytes together
-            row = [pa.array([block]), pa.array([keys.to_pylist()], pa.list_(keys.type)), pa.array([counts], pa.list_(pa.int32())), pa.array([zstandard.compress(planes.tobytes(), 3)], pa.binary())]
+            row = [pa.array([block]), pa.array([keys.to_pylist()], pa.list_(keys.type)), pa.array([counts], pa.list_(pa.int32())), pa.array([_pack(codes)], pa.binary())]
             yield pa.RecordBatch.from_arrays(row, ["block", "keys", "counts", "codes"])
 
     return run
 
 
-def _encode_sorted(ranks_of):
-    """Rows sorted by word: each distinct word is encoded at its first row only."""
+def _encode_sorted(ranks_of, flush: int = 400_000):
+    """Rows sorted by word: each distinct word is encoded at its first row only.
+
+    Ids go back as one row per block for every ``flush`` words: places in the block, sizes, ids.
+    """
+
+    def send(blocks, places, lists):
+        block, place = np.concatenate(blocks), np.concatenate(places)
+        ids = pa.concat_arrays(lists)
+        offsets = ids.offsets.to_numpy().astype(np.int64)
+        order = np.lexsort((place, block))
+        block, place, sizes = block[order], place[order], np.diff(offsets)[order]
+        flat = ids.values.to_numpy()[_gather(offsets[:-1], np.diff(offsets), order)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        cuts = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
+        rows = [(block[i], j - i, ends[j] - ends[i], _pack(place[i:j], sizes[i:j], flat[ends[i] : ends[j]])) for i, j in pairwise(cuts)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["block", "n", "m", "packed"])
 
     def run(batches):
-        ranks, last, ids = ranks_of.value, None, []
+        ranks, last, ids, held = ranks_of.value, None, [], 0
+        blocks, places, lists = [], [], []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             coded = batch.column("word").dictionary_encode()
             made = []
             for word in coded.dictionary.to_pylist():
                 if word != last:
                     last, ids = word, merge(word.encode(), ranks)
                 made.append(ids)
-            ids_of = pa.array(made, pa.list_(pa.int32())).take(coded.indices)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("place"), ids_of], ["block", "place", "ids"])
+            blocks.append(batch.column("block").to_numpy())
+            places.append(batch.column("place").to_numpy())
+            lists.append(pa.array(made, pa.list_(pa.int32())).take(coded.indices))
+            held += batch.num_rows
+            if held >= flush:
+                yield send(blocks, places, lists)
+                blocks, places, lists, held = [], [], [], 0
+        if held:
+            yield send(blocks, places, lists)
 
     return run
 
@@ -152,19 +191,22 @@ def _reassemble(words: pa.Table, layout: pa.Table) -> pa.Table:
     schema = pa.schema([("key", layout.schema.field("keys").type.value_type), ("ids", pa.list_(pa.int32()))])
     if layout.num_rows == 0:
         raise ValueError("the texts changed between two scans")
-    _, order = np.unique(words.column("place").to_numpy(), return_index=True)  # equal blocks of repeated rows share their words
-    lists = words.column("ids").combine_chunks()
-    flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-    starts, sizes = offsets[:-1][order], np.diff(offsets)[order]
+    parts = [_unpack(p, n, n, m) for n, m, p in zip(*(words.column(c).to_pylist() for c in ("n", "m", "packed")), strict=True)]
+    place, sizes, flat = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int64)]) for i in range(3))
+    starts = np.cumsum(sizes) - sizes
+    _, order = np.unique(place, return_index=True)  # equal blocks of repeated rows share their words
+    starts, sizes = starts[order], sizes[order]
+    flat = flat.astype(np.int32)
     out = []
-    row_keys, row_counts, row_codes = (layout.column(c) for c in ("keys", "counts", "codes"))
-    for keys, counts, packed in zip(row_keys.to_pylist(), row_counts.to_pylist(), row_codes.to_pylist(), strict=True):
-        planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-        codes = np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1)
-        ids = flat[_gather(starts, sizes, codes)]
+    for keys, counts, packed in zip(*(layout.column(c).to_pylist() for c in ("keys", "counts", "codes")), strict=True):
+        (codes,) = _unpack(packed, sum(counts))
         per_word = np.concatenate([[0], np.cumsum(sizes[codes])])
         ends = per_word[np.concatenate([[0], np.cumsum(counts)])]
-        out.append(pa.Table.from_arrays([pa.array(keys, schema.field(0).type), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], schema=schema))
+        ids = np.empty(per_word[-1], np.int32)
+        for i in range(0, len(codes), 500_000):  # bounds the gathered indices
+            some = codes[i : i + 500_000]
+            ids[per_word[i] : per_word[i + len(some)]] = flat[_gather(starts, sizes, some)]
+        out.append(pa.Table.from_arrays([pa.array(keys, schema.field(0).type), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))], schema=schema))
     return pa.concat_tables(out)
 
 
@@ -185,7 +227,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> Dat
     kind = dict(docs.dtypes)[key]
     rows = docs.select(key, docs["text"].cast("string").alias("text"))
     words = rows.mapInArrow(_words(pattern), "block long, place int, word string").repartition("word").sortWithinPartitions("word")
-    coded = words.mapInArrow(_encode_sorted(ranks), "block long, place int, ids array<int>")
+    coded = words.mapInArrow(_encode_sorted(ranks), "block long, n int, m int, packed binary")
     layouts = rows.mapInArrow(_layouts(pattern), f"block long, keys array<{kind}>, counts array<int>, codes binary")
     joined = coded.groupBy("block").cogroup(layouts.groupBy("block")).applyInArrow(_reassemble, f"key {kind}, ids array<int>")
     return joined.withColumnRenamed("key", key)
