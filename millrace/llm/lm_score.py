@@ -73,6 +73,20 @@ def _layouts(batches):
         yield pa.RecordBatch.from_arrays(row, ["block", "keys", "counts", "codes"])
 
 
+def own_counts(text: np.ndarray, ids: np.ndarray, size: int, step: int = 1 << 20) -> np.ndarray:
+    """How often each n-gram occurrence's own text has its n-gram; texts are taken a bounded lot at a time."""
+    out, start = np.zeros(len(ids), np.int64), 0
+    while start < len(ids):
+        end = min(len(ids), start + step)
+        if end < len(ids):
+            cut = int(np.searchsorted(text, text[end]))
+            end = cut if cut > start else int(np.searchsorted(text, text[end], side="right"))
+        _, back, times = np.unique((text[start:end] - text[start]) * max(1, size) + ids[start:end], return_inverse=True, return_counts=True)
+        out[start:end] = times[back]
+        start = end
+    return out
+
+
 def score_tokens(codes: np.ndarray, counts: np.ndarray, totals_of, order: int, alpha: float):
     """Per text: (sum of logs without the corpus size, number of words scored by their own count).
 
@@ -84,9 +98,8 @@ def score_tokens(codes: np.ndarray, counts: np.ndarray, totals_of, order: int, a
     context = None
     for k, (ends, ids, size, _) in enumerate(gram_ids(codes, place, order), 1):
         totals = totals_of(k, size, np.bincount(ids, minlength=size))
-        _, back, own = np.unique(text[ends] * max(1, size) + ids, return_inverse=True, return_counts=True)
         left = np.zeros(len(codes))
-        left[ends] = totals[ids] - own[back]
+        left[ends] = totals[ids] - own_counts(text[ends], ids, size)
         if k == 1:
             logs = np.log(np.where(left > 0, left, alpha))
         else:
