@@ -18,17 +18,20 @@ from millrace.session import col
 class LogDensityModel:
     """Per class a quadratic score  c + x.w + x A x; the greatest wins, the softmax is the probability.
 
+    x counts from ``center``, so that features far from 0 lose no digits.
     ``diagonal`` holds A's diagonal (naive Bayes), ``full`` the whole matrix;
     a linear model has neither.
     """
 
-    def __init__(self, classes, constant, linear, diagonal=None, full=None):
+    def __init__(self, classes, constant, linear, diagonal=None, full=None, center=0.0):
         self.classes = np.asarray(classes, float)
         self.constant, self.linear = np.asarray(constant, float), np.asarray(linear, float)
         self.diagonal = None if diagonal is None else np.asarray(diagonal, float)
         self.full = None if full is None else np.asarray(full, float)
+        self.center = np.asarray(center, float)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
+        x = x - self.center
         out = x @ self.linear.T + self.constant
         if self.diagonal is not None:
             out = out + (x**2) @ self.diagonal.T
@@ -71,58 +74,74 @@ def bayes_from_moments(moments: Mapping[float, Moments], var_smoothing: float =
     constant, linear, diagonal = [], [], []
     for c in classes:
         m = moments[c]
-        var = m.variance + lift
+        var, mean = m.variance + lift, m.mean - whole.mean
         with np.errstate(divide="ignore"):
             prior = np.log(m.n / whole.n)
-        constant.append(prior - 0.5 * np.sum(np.log(2 * np.pi * var)) - 0.5 * np.sum(m.mean**2 / var))
-        linear.append(m.mean / var)
+        constant.append(prior - 0.5 * np.sum(np.log(2 * np.pi * var)) - 0.5 * np.sum(mean**2 / var))
+        linear.append(mean / var)
         diagonal.append(-0.5 / var)
-    return LogDensityModel(classes, constant, linear, diagonal=diagonal)
+    return LogDensityModel(classes, constant, linear, diagonal=diagonal, center=whole.mean)
 
 
 def fit_naive_bayes(df: DataFrame, var_smoothing: float = 1e-9, label: str = "label") -> LogDensityModel:
     return bayes_from_moments(class_moments(df, label), var_smoothing)
 
 
-def ledoit_wolf(df: DataFrame, cov: np.ndarray, means: Mapping[float, np.ndarray], n: float, label: str = "label") -> float:
-    """Automatic shrinkage of the pooled covariance (Ledoit and Wolf, 2004): needs only sum |x|^4."""
-    d = len(cov)
-    labels = sorted(means)
-    centres = np.stack([means[c] for c in labels])
+def shrunk_covariances(df: DataFrame, moments: Mapping[float, Moments], label: str = "label") -> dict[float, np.ndarray]:
+    """Each class's covariance under automatic shrinkage (Ledoit and Wolf, 2004).
+
+    A class is standardised, its correlation matrix is pulled towards the identity by
+    the share that the fourth moments ask for, and scaled back. One scan sums |z|^4 per class.
+    """
+    labels = sorted(moments)
+    centres = np.stack([moments[c].mean for c in labels])
+    scales = np.stack([np.sqrt(moments[c].variance) for c in labels])
+    scales[scales == 0] = 1.0
 
     def fourth(batches):
-        total = 0.0
+        sums = np.zeros(len(labels))
         for batch in batches:
             if batch.empty:
                 continue
             own = np.searchsorted(labels, batch["k"].to_numpy())
-            x = np.stack(batch["x"].to_numpy()) - centres[own]
-            total += float(((x**2).sum(1) ** 2).sum())
-        yield pd.DataFrame({"t": [total]})
+            z = (np.stack(batch["x"].to_numpy()) - centres[own]) / scales[own]
+            sums += np.bincount(own, (z**2).sum(1) ** 2, len(labels))
+        yield pd.DataFrame({"k": labels, "t": sums})
 
     rows = df.select(col(label).cast("double").alias("k"), vector_to_array("features").alias("x"))
-    total = rows.mapInPandas(fourth, "t double").agg(F.sum("t")).first()[0]
-    mu = np.trace(cov) / d
-    spread = (cov**2).sum() - d * mu**2
-    noise = min((total / n - (cov**2).sum()) / n, spread)
-    return 0.0 if spread <= 0 else max(0.0, noise / spread)
+    totals = {r["k"]: r["t"] for r in rows.mapInPandas(fourth, "k double, t double").groupBy("k").agg(F.sum("t").alias("t")).collect()}
+    out = {}
+    for c, scale in zip(labels, scales, strict=True):
+        m = moments[c]
+        cov = m.covariance / np.outer(scale, scale)
+        d = len(cov)
+        mu = np.trace(cov) / d
+        spread = (cov**2).sum() - d * mu**2
+        noise = min((totals[c] / m.n - (cov**2).sum()) / m.n, spread)
+        share = 0.0 if spread <= 0 else max(0.0, noise / spread)
+        out[c] = ((1 - share) * cov + share * mu * np.eye(d)) * np.outer(scale, scale)
+    return out
 
 
 def fit_linear_discriminant(df: DataFrame, shrinkage: float | str | None = None, label: str = "label") -> LogDensityModel:
-    """One covariance for all classes; ``shrinkage`` pulls it to a multiple of the identity."""
+    """One covariance for all classes, the mean of the classes' own by their share of rows.
+
+    A number pulls each class's covariance to a multiple of the identity; ``auto`` shrinks as
+    :func:`shrunk_covariances` does.
+    """
     moments = class_moments(df, label, cross=True)
     classes = sorted(moments)
     n = sum(m.n for m in moments.values())
-    pooled = sum(moments[c].covariance * moments[c].n for c in classes) / n
-    if shrinkage == "auto":
-        shrinkage = ledoit_wolf(df, pooled, {c: moments[c].mean for c in classes}, n, label)
-    if shrinkage:
+    own = shrunk_covariances(df, moments, label) if shrinkage == "auto" else {c: moments[c].covariance for c in classes}
+    pooled = sum(own[c] * moments[c].n for c in classes) / n
+    if shrinkage and shrinkage != "auto":
         target = np.trace(pooled) / len(pooled) * np.eye(len(pooled))
         pooled = (1 - shrinkage) * pooled + shrinkage * target
+    center = _pooled(moments).mean
     inverse = np.linalg.pinv(pooled, hermitian=True)
-    linear = [inverse @ moments[c].mean for c in classes]
-    constant = [-0.5 * moments[c].mean @ w + np.log(moments[c].n / n) for c, w in zip(classes, linear)]
-    return LogDensityModel(classes, constant, linear)
+    linear = [inverse @ (moments[c].mean - center) for c in classes]
+    constant = [-0.5 * (moments[c].mean - center) @ w + np.log(moments[c].n / n) for c, w in zip(classes, linear)]
+    return LogDensityModel(classes, constant, linear, center=center)
 
 
 def fit_quadratic_discriminant(df: DataFrame, reg_param: float = 0.01, label: str = "label") -> LogDensityModel:
@@ -130,6 +149,7 @@ def fit_quadratic_discriminant(df: DataFrame, reg_param: float = 0.01, label: st
     moments = class_moments(df, label, cross=True)
     classes = sorted(moments)
     n = sum(m.n for m in moments.values())
+    center = _pooled(moments).mean
     constant, linear, full = [], [], []
     for c in classes:
         m = moments[c]
@@ -137,11 +157,11 @@ def fit_quadratic_discriminant(df: DataFrame, reg_param: float = 0.01, label: st
         values, vectors = np.linalg.eigh(cov)
         values = (1 - reg_param) * np.maximum(values, 0.0) + reg_param
         inverse = (vectors / values) @ vectors.T
-        w = inverse @ m.mean
+        w = inverse @ (m.mean - center)
         linear.append(w)
         full.append(-0.5 * inverse)
-        constant.append(np.log(m.n / n) - 0.5 * np.log(values).sum() - 0.5 * m.mean @ w)
-    return LogDensityModel(classes, constant, linear, full=full)
+        constant.append(np.log(m.n / n) - 0.5 * np.log(values).sum() - 0.5 * (m.mean - center) @ w)
+    return LogDensityModel(classes, constant, linear, full=full, center=center)
 
 
 # --- the same model on named columns, as plain expressions ------------------------------------------------
@@ -196,13 +216,16 @@ def smoothing_sweep(
     same scan; tasks hand back counts only.
     """
     held = [int(f) for f in held]
-    by_part = class_moments(df.withColumn("__part", col(fold) * 1000 + col(label)), "__part")
+    labels = sorted(float(r[0]) for r in df.select(col(label)).distinct().collect())  # one row per class
+    if not set(labels) <= {0.0, 1.0}:
+        raise ValueError("confusion counts need labels 0 and 1")
+    by_part = class_moments(df.withColumn("__part", col(fold) * 2 + col(label)), "__part")
     models = {}
     for f in held:
         train: dict[float, Moments] = {}
         for key, m in by_part.items():
-            if int(key) // 1000 != f:
-                c = float(int(key) % 1000)
+            if int(key) // 2 != f:
+                c = float(int(key) % 2)
                 train[c] = train[c] + m if c in train else m
         models[f] = [bayes_from_moments(train, v) for v in values]
 

@@ -37,11 +37,11 @@ class FourierMap:
 def gamma_value(df: DataFrame, gamma: float | str) -> tuple[int, float]:
     """``scale`` is 1 / (d * variance of all entries), ``auto`` is 1 / d."""
     m = class_moments(df)[0.0]
-    d = len(m.total)
+    d = len(m.mean)
     if gamma == "auto":
         return d, 1.0 / d
     if gamma == "scale":
-        overall = m.squares.sum() / (m.n * d) - (m.total.sum() / (m.n * d)) ** 2
+        overall = m.variance.mean() + m.mean.var()
         return d, 1.0 / (d * overall) if overall > 0 else 1.0
     return d, float(gamma)
 

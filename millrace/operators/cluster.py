@@ -77,15 +77,17 @@ def silhouette_squared(df: DataFrame, label: str = "cluster", features: str = "f
     if len(moments) < 2:
         return None
     labels = sorted(moments)
-    means = np.stack([moments[c].mean for c in labels])
-    spread = np.array([moments[c].squares.sum() / moments[c].n for c in labels])
     sizes = np.array([moments[c].n for c in labels])
+    means = np.stack([moments[c].mean for c in labels])
+    centre = sizes @ means / sizes.sum()
+    means = means - centre  # distances do not change, and large coordinates stay exact
+    spread = np.array([moments[c].variance.sum() for c in labels]) + (means**2).sum(1)
 
     def score(batches):
         for batch in batches:
             if batch.empty:
                 continue
-            x = np.stack(batch["x"].to_numpy())
+            x = np.stack(batch["x"].to_numpy()) - centre
             gap = (x**2).sum(1)[:, None] - 2 * x @ means.T + spread[None, :]
             own = np.searchsorted(labels, batch["c"].to_numpy())
             here = np.arange(len(x))
@@ -127,11 +129,12 @@ def davies_bouldin(df: DataFrame, label: str = "cluster", features: str = "featu
     mean_gap = scored.mapInPandas(spread, "c double, d double").groupBy("c").agg(F.avg("d").alias("d"))
     within = {r["c"]: r["d"] for r in mean_gap.collect()}
     s = np.array([within[c] for c in labels])
-    apart = np.sqrt(((means[:, None] - means[None]) ** 2).sum(-1))
-    np.fill_diagonal(apart, np.inf)
-    worst = ((s[:, None] + s[None]) / np.where(apart == 0, np.nan, apart))
-    np.fill_diagonal(worst, -np.inf)
-    return float(np.nanmax(worst, axis=1).mean())
+    worst = []
+    for i in range(len(labels)):  # a row at a time: k x d numbers, not k x k x d
+        apart = np.sqrt(((means - means[i]) ** 2).sum(1))
+        ratio = (s + s[i]) / np.where(apart == 0, np.nan, apart)
+        worst.append(np.nanmax(np.delete(ratio, i)) if np.isfinite(np.delete(ratio, i)).any() else np.nan)
+    return float(np.mean(worst))
 
 
 class PrincipalComponents:

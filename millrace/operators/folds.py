@@ -52,13 +52,16 @@ def hashed_folds(df: DataFrame, keys: Sequence[str], k: int = 5, seed: int = 42,
 def holdout(
     df: DataFrame, keys: Sequence[str], test_size: float = 0.2, label: str | None = None, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test part; stratified when a label is given."""
-    parts = max(round(1 / test_size), 2)
-    if label is None:
-        marked = hashed_folds(df, keys, parts, seed, "__part")
-    else:
-        marked = stratified_folds(df, label, keys, parts, seed, "__part")
-    return (
-        marked.where(F.col("__part") != 0).drop("__part"),
-        marked.where(F.col("__part") == 0).drop("__part"),
-    )
+    """Train and test part; ceil(n * test_size) rows are held out, of each class where a label is given.
+
+    Rows are ranked by a hash of their keys, so the split is reproducible for any size.
+    """
+    by = label or "__whole"
+    rows = df if label else df.withColumn(by, F.lit(0))
+    ordered = rows.withColumn("__order", _order(keys, seed)).withColumn("__one", F.lit(1))
+    parts = max(1, min(math.ceil(df.count() / BUCKET_ROWS), MAX_BUCKETS))
+    cuts = [-(2.0**63) + i * (2.0**64 / parts) for i in range(1, parts)]
+    ranked = running_totals(ordered, "__order", ["__one"], [by], tie=list(keys), cuts=cuts)
+    held = F.col("__one_before") < F.ceil(F.round(F.col("__one_total") * test_size, 6))
+    out = ranked.select(*[col(c) for c in df.columns], held.alias("__held"))
+    return out.where(~F.col("__held")).drop("__held"), out.where("__held").drop("__held")

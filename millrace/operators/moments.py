@@ -16,28 +16,27 @@ from millrace.session import col
 
 @dataclass
 class Moments:
-    """Row count, sum, sum of squares and (optionally) the Gram matrix of one class."""
+    """Row count, mean, and sums of squared deviations and (optionally) of their products, of one class."""
 
     n: float
-    total: np.ndarray
+    mean: np.ndarray
     squares: np.ndarray
     gram: np.ndarray | None
 
-    @property
-    def mean(self) -> np.ndarray:
-        return self.total / self.n
-
     @property
     def variance(self) -> np.ndarray:
-        return np.maximum(self.squares / self.n - self.mean**2, 0.0)
+        return np.maximum(self.squares / self.n, 0.0)
 
     @property
     def covariance(self) -> np.ndarray:
-        return self.gram / self.n - np.outer(self.mean, self.mean)
+        return self.gram / self.n
 
     def __add__(self, other: Moments) -> Moments:
-        gram = None if self.gram is None else self.gram + other.gram
-        return Moments(self.n + other.n, self.total + other.total, self.squares + other.squares, gram)
+        n = self.n + other.n
+        gap = other.mean - self.mean
+        share = self.n * other.n / n
+        gram = None if self.gram is None else self.gram + other.gram + share * np.outer(gap, gap)
+        return Moments(n, self.mean + gap * other.n / n, self.squares + other.squares + share * gap**2, gram)
 
 
 def class_moments(
@@ -45,17 +44,39 @@ def class_moments(
 ) -> dict[float, Moments]:
     """Moments per class; with ``target`` the label is appended as the last coordinate.
 
-    Each partition folds its batches into one small block per class; the blocks
-    are summed position by position on the cluster, so what reaches the driver
-    is d (or d*d) numbers per class whatever the row count.
+    A first pass finds each class's mean; a second sums the deviations from it, so
+    large values with a small spread lose nothing. Each partition folds its
+    batches into one small block per class; the blocks are summed position by position on the
+    cluster, so what reaches the driver is d (or d*d) numbers per class whatever the row count.
     """
     values = vector_to_array(col(features))
     if target is not None:
         values = F.concat(values, F.array(col(target).cast("double")))
     key = col(by).cast("double") if by else F.lit(0.0)
 
+    work = df.select(key.alias("k"), values.alias("x"))
+    first = _summed(work, lambda rows, _: [rows.sum(0)], {})
+    centres = {k: flat[1:] / flat[0] for k, flat in first.items()}
+
+    def deviations(rows: np.ndarray, centre: np.ndarray) -> list[np.ndarray]:
+        rows = rows - centre
+        return [rows.sum(0), (rows**2).sum(0), *([(rows.T @ rows).ravel()] if cross else [])]
+
+    out = {}
+    for k, flat in _summed(work, deviations, centres).items():
+        n, centre = flat[0], centres[k]
+        d = len(centre)
+        off = flat[1 : 1 + d] / n  # what rounding left of the first pass
+        gram = flat[1 + 2 * d :].reshape(d, d) - n * np.outer(off, off) if cross else None
+        out[k] = Moments(n, centre + off, flat[1 + d : 1 + 2 * d] - n * off**2, gram)
+    return out
+
+
+def _summed(work: DataFrame, parts_of, centres: dict[float, np.ndarray]) -> dict[float, np.ndarray]:
+    """Per class: row count and the sums that ``parts_of(rows, centre)`` makes, as one flat array."""
+
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[float, list] = {}
+        held: dict[float, np.ndarray] = {}
         for batch in batches:
             if batch.empty:
                 continue
@@ -63,15 +84,12 @@ def class_moments(
             keys = batch["k"].to_numpy()
             for k in np.unique(keys):
                 rows = matrix[keys == k]
-                block = [np.array([len(rows)], float), rows.sum(0), (rows**2).sum(0)]
-                if cross:
-                    block.append((rows.T @ rows).ravel())
-                flat = np.concatenate(block)
+                flat = np.concatenate([np.array([len(rows)], float), *parts_of(rows, centres.get(k))])
                 held[k] = held[k] + flat if k in held else flat
         for k, flat in held.items():
             yield pd.DataFrame({"k": [float(k)], "block": [flat]})
 
-    blocks = df.select(key.alias("k"), values.alias("x")).mapInPandas(fold, "k double, block array<double>")
+    blocks = work.mapInPandas(fold, "k double, block array<double>")
     summed = (
         blocks.select("k", F.posexplode("block").alias("i", "v"))
         .groupBy("k", "i")
@@ -79,11 +97,4 @@ def class_moments(
         .groupBy("k")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda e: e["v"]).alias("block"))
     )
-    out = {}
-    for r in summed.collect():
-        flat = np.array(r["block"])
-        rest = len(flat) - 1
-        d = rest // 2 if not cross else int(round(-1 + np.sqrt(1 + rest)))
-        gram = flat[1 + 2 * d :].reshape(d, d) if cross else None
-        out[r["k"]] = Moments(flat[0], flat[1 : 1 + d], flat[1 + d : 1 + 2 * d], gram)
-    return out
+    return {r["k"]: np.array(r["block"]) for r in summed.collect()}

@@ -1,12 +1,12 @@
 """Exact order statistics and running totals that never gather a column in one task.
 
 Spark's ``percentile``, ``median`` and ``mode`` keep a value -> count map that
-ends up whole in one task. Here that built-in is used only below a counted row
-limit. Beyond it:
+ends up whole in one task. Here, for tables of every size:
 
 * quantiles are found by narrowing: a bounded sketch proposes two pivots per
   rank, one aggregate counts exactly how many rows lie below and at each pivot,
-  and the search goes on inside the interval that must hold the rank;
+  and the search goes on inside the interval that must hold the rank, until the
+  interval is short enough to be listed;
 * modes are a grouped count followed by a min over (-count, value);
 * running totals are split into value ranges, summed per range, and offset.
 """
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from millrace.session import col
 
-DIRECT_ROWS = 100_000
 LIST_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
 BUCKET_ROWS = 1_000_000
@@ -45,7 +44,6 @@ def quantiles(
     df: DataFrame,
     columns: Sequence[str] | Mapping[str, Column],
     probs: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
     list_rows: int = LIST_ROWS,
 ) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of many columns, nulls skipped.
@@ -59,33 +57,18 @@ def quantiles(
     names = list(exprs)
     ids = range(len(names))
     work = df.select(*[_number(exprs[n]).alias(f"v{i}") for i, n in enumerate(names)])
-    first = {(i, -math.inf, math.inf): sorted({q for p in probs for q in _around(p)}) for i in ids}
-    row = work.agg(*[F.count(f"v{i}").alias(f"n{i}") for i in ids], *_sketches(first)).first()
-    sizes = {i: row[f"n{i}"] for i in ids}
-    out: dict[str, list[float | None]] = {names[i]: [None] * len(probs) for i in ids if sizes[i] == 0}
-
-    direct = [i for i in ids if 0 < sizes[i] <= direct_rows]
-    if direct:
-        ps = F.array(*[F.lit(float(p)) for p in probs])
-        got = work.agg(*[F.percentile(F.col(f"v{i}"), ps).alias(f"q{i}") for i in direct]).first()
-        out.update({names[i]: list(got[f"q{i}"]) for i in direct})
-
-    large = [i for i in ids if sizes[i] > direct_rows]
-    if large:
-        wanted = {}
-        for i in large:
-            spots = [(sizes[i] - 1) * float(p) for p in probs]
-            wanted[i] = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
-        pivots = {i: sorted(set(row[f"p{j}"])) for j, (i, _, _) in enumerate(first) if i in wanted}
-        found = _select_ranks(work, sizes, wanted, pivots, list_rows)
-        for i in large:
-            values = []
-            for p in probs:
-                spot = (sizes[i] - 1) * float(p)
-                lo, hi = math.floor(spot), math.ceil(spot)
-                a, b = found[(i, lo)], found[(i, hi)]
-                values.append(a if lo == hi else (hi - spot) * a + (spot - lo) * b)
-            out[names[i]] = values
+    sizes = dict(zip(ids, work.agg(*[F.count(f"v{i}") for i in ids]).first(), strict=True))
+    spots = {i: [(sizes[i] - 1) * float(p) for p in probs] for i in ids if sizes[i]}
+    wanted = {i: sorted({r for s in at for r in (math.floor(s), math.ceil(s))}) for i, at in spots.items()}
+    found = _select_ranks(work, sizes, wanted, list_rows)
+    out: dict[str, list[float | None]] = {names[i]: [None] * len(probs) for i in ids}
+    for i, at in spots.items():
+        values = []
+        for spot in at:
+            lo, hi = math.floor(spot), math.ceil(spot)
+            a, b = found[(i, lo)], found[(i, hi)]
+            values.append(a if lo == hi or a == b else (hi - spot) * a + (spot - lo) * b)
+        out[names[i]] = values
     return out
 
 
@@ -95,17 +78,18 @@ def _around(p: float) -> tuple[float, float]:
     return max(float(p) - step, 0.0), min(float(p) + step, 1.0)
 
 
-def _inside(i: int, low: float, high: float) -> Column:
+def _inside(i: int, low: float | None, high: float | None) -> Column:
+    """The value where it lies strictly between the ends; None is an open end, as infinities are values too."""
     v = F.col(f"v{i}")
     cond = v.isNotNull()
-    if low != -math.inf:
+    if low is not None:
         cond = cond & (v > F.lit(low))
-    if high != math.inf:
+    if high is not None:
         cond = cond & (v < F.lit(high))
     return F.when(cond, v)
 
 
-def _sketches(spans: dict[tuple[int, float, float], list[float]]) -> list[Column]:
+def _sketches(spans: dict[tuple, list[float]]) -> list[Column]:
     return [
         F.approx_percentile(_inside(*span), F.array(*[F.lit(p) for p in ps]), F.lit(SKETCH_ACCURACY)).alias(f"p{j}")
         for j, (span, ps) in enumerate(spans.items())
@@ -113,22 +97,36 @@ def _sketches(spans: dict[tuple[int, float, float], list[float]]) -> list[Column
 
 
 def _select_ranks(
-    work: DataFrame,
-    sizes: dict[int, int],
-    wanted: dict[int, list[int]],
-    pivots: dict[int, list[float]],
-    list_rows: int,
+    work: DataFrame, sizes: dict[int, int], wanted: dict[int, list[int]], list_rows: int
 ) -> dict[tuple[int, int], float]:
     """Values at zero-based ranks, by multi-pivot narrowing over whole-table aggregates.
 
     Per open target the state is an interval (low, high) of values, the exact
     number of rows at or below ``low`` and the exact number inside. Pivots are
     values of the data, so each round either hits the target or shrinks the
-    interval; a value held by a third of the rows is simply hit.
+    interval; a value held by a third of the rows is simply hit. An interval of
+    at most ``list_rows`` rows is listed.
     """
-    state = {(i, r): (-math.inf, math.inf, 0, sizes[i]) for i, ranks in wanted.items() for r in ranks}
+    state = {(i, r): (None, None, 0, sizes[i]) for i, ranks in wanted.items() for r in ranks}
     found: dict[tuple[int, int], float] = {}
     while state:
+        small = {t: s for t, s in state.items() if s[3] <= list_rows}
+        if small:
+            spans = list(dict.fromkeys((t[0], s[0], s[1]) for t, s in small.items()))
+            name = {span: f"s{j}" for j, span in enumerate(spans)}
+            row = work.agg(*[F.sort_array(F.collect_list(_inside(*p))).alias(name[p]) for p in spans]).first()
+            for t, (low, high, below, _) in small.items():
+                found[t] = row[name[(t[0], low, high)]][t[1] - below]
+                del state[t]
+        if not state:
+            break
+        spans: dict[tuple, set] = {}
+        for t, (low, high, below, size) in state.items():
+            spans.setdefault((t[0], low, high), set()).update(_around((t[1] - below) / size))
+        row = work.agg(*_sketches({span: sorted(ps) for span, ps in spans.items()})).first()
+        pivots: dict[int, list[float]] = {}
+        for j, (i, _, _) in enumerate(spans):
+            pivots[i] = sorted({*pivots.get(i, []), *row[f"p{j}"]})
         flat = [(i, v) for i, vs in pivots.items() for v in vs]
         counts = []
         for j, (i, v) in enumerate(flat):
@@ -140,39 +138,20 @@ def _select_ranks(
             low, high, below, size = state[t]
             upto = below + size
             for v in pivots[t[0]]:
-                if not low < v < high:
+                if low is not None and v <= low or high is not None and v >= high:
                     continue
                 lt, le = seen[(t[0], v)]
                 if lt <= t[1] < le:
                     found[t] = v
+                    del state[t]
                     break
                 if le <= t[1]:
                     low, below = v, le
                 else:
                     high, upto = v, lt
                     break
-            if t in found:
-                del state[t]
-            else:
+            if t in state:
                 state[t] = (low, high, below, upto - below)
-
-        small = {t: s for t, s in state.items() if s[3] <= list_rows}
-        if small:
-            spans = sorted({(t[0], s[0], s[1]) for t, s in small.items()})
-            name = {span: f"s{j}" for j, span in enumerate(spans)}
-            row = work.agg(*[F.sort_array(F.collect_list(_inside(*p))).alias(name[p]) for p in spans]).first()
-            for t, (low, high, below, _) in small.items():
-                found[t] = row[name[(t[0], low, high)]][t[1] - below]
-                del state[t]
-        if state:
-            spans = {}
-            for t, (low, high, below, size) in sorted(state.items()):
-                spans.setdefault((t[0], low, high), set()).update(_around((t[1] - below) / size))
-            spans = {span: sorted(ps) for span, ps in spans.items()}
-            row = work.agg(*_sketches(spans)).first()
-            pivots = {}
-            for j, (i, _, _) in enumerate(spans):
-                pivots[i] = sorted({*pivots.get(i, []), *row[f"p{j}"]})
     return found
 
 

@@ -39,7 +39,7 @@ def test_narrowing_is_exact(spark, shape):
         "two": [0.0] * 700 + [1.0] * 701,
     }[shape] + [None] * 20
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = stats.quantiles(frame(spark, values), ["v"], probs, direct_rows=10, list_rows=3)["v"]
+    got = stats.quantiles(frame(spark, values), ["v"], probs, list_rows=3)["v"]
     assert got == pytest.approx([linear(values, p) for p in probs], abs=1e-12)
 
 
@@ -88,9 +88,16 @@ def test_modes_share_one_scan(spark):
     assert stats.modes(df, ["a", "b"]) == {"a": 0, "b": 0}
 
 
-@pytest.mark.parametrize("direct_rows", [100, 2])
-def test_nan_counts_as_missing(spark, direct_rows):
+@pytest.mark.parametrize("list_rows", [100, 1])
+def test_nan_counts_as_missing(spark, list_rows):
     df = frame(spark, [1.0, 2.0, 3.0, 4.0, float("nan"), float("nan"), None])
-    assert stats.quantiles(df, ["v"], [0.5, 1.0], direct_rows=direct_rows, list_rows=1)["v"] == [2.5, 4.0]
+    assert stats.quantiles(df, ["v"], [0.5, 1.0], list_rows=list_rows)["v"] == [2.5, 4.0]
     grouped = stats.group_medians(df.withColumn("g", F.lit("a")), "g", "v")
     assert grouped.first()["median"] == 2.5
+
+
+@pytest.mark.parametrize("list_rows", [100, 1])
+def test_infinities_are_values(spark, list_rows):
+    values = [float("inf")] * 6 + [float("-inf")] + [1.0, 2.0, 3.0]
+    got = stats.quantiles(frame(spark, values), ["v"], [0.0, 1 / 9, 0.75, 1.0], list_rows=list_rows)["v"]
+    assert got == [float("-inf"), 1.0, float("inf"), float("inf")]
