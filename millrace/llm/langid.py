@@ -107,14 +107,16 @@ def popcounts(filters: Filters, data: np.ndarray, offsets: np.ndarray) -> tuple[
 def fit(docs: DataFrame, per_language: int = 1500, max_bytes: int = 65_536, **options) -> Filters:
     """Filters from a bounded sample of labelled texts.
 
-    The bound is ``per_language`` texts of at most ``max_bytes`` bytes for each language, drawn in the order of a hash
-    of the text; rows without text or language are not used.
+    The bound is about ``per_language`` texts of at most ``max_bytes`` bytes for each language, those whose hashed id falls
+    below the share that leaves so many; rows without id, text or language are not used.
     """
-    known = docs.select("text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= max_bytes)).withColumn("turn", F.xxhash64("text"))
-    names = [r.lang for r in known.select("lang").distinct().collect()]  # one row per language
-    rows = []
-    for name in sorted(names):
-        rows += known.where(F.col("lang") == name).select("text", "lang").orderBy(known["turn"], "text").limit(per_language).collect()
+    known = docs.select("doc_id", "text", "lang").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= max_bytes))
+    share = {r.lang: per_language / r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
+    if not share:
+        return build_filters([], [], **options)
+    limit = F.element_at(F.create_map(*[F.lit(v) for pair in share.items() for v in pair]), F.col("lang"))
+    rows = known.where(unit_of("doc_id") < limit).select("doc_id", "text", "lang").collect()
+    rows.sort(key=lambda r: (r.lang, r.doc_id, r.text))
     return build_filters([r.text for r in rows], [r.lang for r in rows], **options)
 
 
@@ -164,6 +166,11 @@ def reject(docs: DataFrame, filters: Filters) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
+def unit_of(*columns: str):
+    """A number in [0, 1) from the hash of some columns."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
 def held_out(modulus: int):
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(modulus)), F.lit(-1))
 
