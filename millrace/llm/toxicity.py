@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fmix, pieces, query, split_words, table, word_hashes
-from millrace.llm.langid import held_out
+from millrace.llm.langid import held_out, unit_of
 
 BLOCK_BYTES = 4 << 20
 WINDOW, STRIDE = 32, 16
@@ -350,17 +350,18 @@ def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, toxic_texts: int = 1500, clean_texts: int = 3000, max_bytes: int = 32_768, **options) -> Model | None:
     """Train on a bounded sample of labelled texts.
 
-    The bound is ``toxic_texts`` and ``clean_texts`` texts of at most ``max_bytes`` bytes, drawn in the order of a
-    hash of the id. A null label is no label; a document labelled more than once counts as toxic if any label says so.
+    The bound is about ``toxic_texts`` and ``clean_texts`` texts of at most ``max_bytes`` bytes, those whose hashed id
+    falls below the share that leaves so many. A null label is no label; a document labelled more than
+    once counts as toxic if any label says so.
     """
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    turn = F.xxhash64("doc_id")
-    chosen = known.where("toxic = 1").orderBy(turn, "doc_id").limit(2 * toxic_texts).unionByName(known.where("toxic = 0").orderBy(turn, "doc_id").limit(2 * clean_texts))
+    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") == 1).cast("int").alias("toxic"))
+    counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    limit = F.when(F.col("toxic") == 1, F.lit(toxic_texts / max(1, counts.get(1, 0)))).otherwise(F.lit(clean_texts / max(1, counts.get(0, 0))))
+    chosen = known.where(unit_of("doc_id") < limit)
     found = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.octet_length("text").between(1, max_bytes))
-    rows = sorted(found.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", turn.alias("turn")).collect(), key=lambda r: (r.turn, r.doc_id, r.text))
-    rows = [r for r in rows if r.toxic == 1][:toxic_texts] + [r for r in rows if r.toxic != 1][:clean_texts]
+    rows = sorted(found.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect(), key=lambda r: (r.doc_id, r.text))
     with np.errstate(over="ignore"):
-        return train([r.text for r in rows], [int(r.toxic == 1) for r in rows], **options)
+        return train([r.text for r in rows], [r.toxic for r in rows], **options)
 
 
 def score(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFrame:
