@@ -19,10 +19,6 @@ def to_number(c: Column) -> Column:
     return F.regexp_extract(c.cast("string"), _NUMBER, 1).try_cast("double")
 
 
-def null_if_nan(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
-
-
 def positive(c: Column) -> Column:
     return F.when(c > 0, c)
 

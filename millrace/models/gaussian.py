@@ -201,7 +201,7 @@ def score_naive_bayes(df: DataFrame, label: str, columns: Sequence[str], var_smo
     best = F.lit(classes[-1])
     for k, value in reversed(list(zip(classes, logs))):
         best = F.when(value == top, F.lit(k)).otherwise(best)
-    positive = F.exp(logs[classes.index(1)] - top)
+    positive = F.exp(logs[classes.index(1)] - top) if 1 in classes else F.lit(0.0)
     whole = reduce(lambda a, b: a + b, [F.exp(v - top) for v in logs])
     return df.withColumns({"prediction": best, "score": positive / whole})
 

@@ -51,7 +51,7 @@ def fit_kernel_classifier(df: DataFrame, c: float = 1.0, gamma: float | str = "s
     lift = FourierMap(d, g, size, seed)
     ready = keep_for_reuse(lift.transform(df))
     total = ready.agg(F.sum("weight")).first()[0]
-    model = LinearSVC(weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=30, tol=1e-3).fit(ready)
+    model = LinearSVC(weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=1000, tol=1e-6).fit(ready)
     ready.unpersist()
 
     def transform(rows: DataFrame) -> DataFrame:

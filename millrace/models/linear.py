@@ -37,7 +37,7 @@ def fit_elastic_net(df: DataFrame, alpha: float = 0.1, l1_ratio: float = 0.5, la
     """Minimise squares / 2n + alpha (ratio |w|_1 + (1 - ratio) |w|^2 / 2)."""
     _, spread = _label_scale(df, label)
     l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * spread
-    return _estimator(label, regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2)).fit(df)
+    return _estimator(label, regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2) if l1 + l2 else 0.0).fit(df)
 
 
 def fit_lasso(df: DataFrame, alpha: float = 0.1, label: str = "label"):

@@ -102,7 +102,7 @@ def fill_group_median(df: DataFrame, by: str, value: str) -> DataFrame:
     that is joined back, and the second median is learned on the filled column.
     """
     found = stats.group_medians(df, by, value, name="__median")
-    joined = left_join_unique(df, found, by)
+    joined = left_join_unique(df, found, by, check=False)
     once = joined.withColumn(value, F.coalesce(col(value).cast("double"), F.col("__median"))).select(*df.columns)
     rest = stats.medians(once, [value])[value]
     return once if rest is None else fill_constant(once, {value: rest})

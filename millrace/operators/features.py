@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, numbers
 from millrace.operators.join import left_join_unique
-from millrace.operators.stats import running_totals
-from millrace.session import col, present
-
-MAX_LEVELS = 5_000
+from millrace.session import col, cut_lineage, present
 
 
 def duration_days(df: DataFrame, start: str, end: str, name: str, low: int = 0, high: int = 60) -> DataFrame:
@@ -36,12 +33,9 @@ def level_text(c: Column, null_word: str = "nan") -> Column:
     return F.coalesce(c.cast("string"), F.lit(null_word))
 
 
-def levels(df: DataFrame, column: str, limit: int = MAX_LEVELS) -> list[str]:
-    """Sorted levels, for operators whose output schema depends on them; fails past the limit."""
-    rows = df.select(level_text(col(column)).alias("v")).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column!r} has more than {limit} levels; one column per level is not usable")
-    return sorted(r["v"] for r in rows)
+def levels(df: DataFrame, column: str) -> list[str]:
+    """Sorted levels, for operators whose output schema depends on them: one column per level."""
+    return sorted(r["v"] for r in df.select(level_text(col(column)).alias("v")).distinct().collect())
 
 
 def one_hot(df: DataFrame, column: str, prefix: str | None = None, known: Sequence[str] | None = None) -> DataFrame:
@@ -55,22 +49,16 @@ def one_hot(df: DataFrame, column: str, prefix: str | None = None, known: Sequen
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """Level table (level, code), codes in alphabetical order from 0.
 
-    Few levels are numbered on the driver's sorted list; a column with very
-    many is numbered on the cluster by sorted ranges of a global sort.
+    Levels are split into ranges by Spark's own range partitioning over the whole text, numbered
+    inside a range, and offset by the sizes of the ranges before (one row per range).
     """
-    spark = df.sparkSession
     distinct = df.select(level_text(col(column)).alias("__level")).distinct()
-    rows = distinct.limit(MAX_LEVELS + 1).collect()
-    if len(rows) <= MAX_LEVELS:
-        pairs = [(v, i) for i, v in enumerate(sorted(r["__level"] for r in rows))]
-        return spark.createDataFrame(pairs, "__level string, __code int")
-    # Text order is kept by a number made of the first bytes; equal heads are ordered by the whole text.
-    head = F.conv(F.substring(F.hex(F.rpad(F.encode("__level", "UTF-8"), F.lit(6), F.lit(b"\x00"))), 1, 12), 16, 10)
-    numbered = running_totals(
-        distinct.withColumn("__head", head.cast("double")).withColumn("__one", F.lit(1)), "__head", ["__one"],
-        tie=["__level"],
-    )
-    return numbered.select("__level", F.col("__one_before").cast("int").alias("__code"))
+    ranged = cut_lineage(distinct.repartitionByRange("__level").withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy("__level"))
+    return ranged.withColumn("__place", place).join(starts, "__range").select("__level", (F.col("__start") + F.col("__place") - 1).cast("int").alias("__code"))
 
 
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -78,7 +66,7 @@ def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     if column not in df.columns:
         return df
     coded = df.withColumn("__level", level_text(col(column)))
-    return left_join_unique(coded, label_codes(df, column), "__level").withColumnRenamed("__code", name).drop("__level")
+    return left_join_unique(coded, label_codes(df, column), "__level", check=False).withColumnRenamed("__code", name).drop("__level")
 
 
 def min_max(df: DataFrame, columns: Sequence[str], suffix: str = "_norm") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Dimension and child-table joins that survive null and hot keys."""
+"""Dimension and child-table joins: unique keys, children per parent, orphans."""
 
 from __future__ import annotations
 
@@ -8,10 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import col, plan_bytes
-
-HOT_SHARE = 0.01
-SALTS = 64
+from millrace.session import col
 
 
 def unique_by_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -37,36 +34,21 @@ def key_uniqueness(dim: DataFrame, key: str) -> DataFrame:
     )
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[Any]:
-    """Keys holding at least ``share`` of the non-null rows: never more than 1/share of them."""
-    counted = df.where(col(key).isNotNull()).groupBy(col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n"))
-    rows = counted.where(F.col("n") >= total.scalar() * F.lit(share)).select("k").collect()
-    return [r["k"] for r in rows]
-
-
-def left_join_unique(fact: DataFrame, dim: DataFrame, key: str, hot: Sequence[Any] | str = "detect") -> DataFrame:
-    """Left equi-join to a table that holds each key at most once.
+def left_join_unique(fact: DataFrame, dim: DataFrame, key: str, check: bool = True) -> DataFrame:
+    """Left equi-join to a table that holds each key at most once; a repeated key fails the job.
 
-    A dimension under Spark's own broadcast limit is left to Catalyst. Beyond
-    it the join shuffles, and two kinds of rows would pile up in one task:
-    rows without a key, and rows of a hot key. Both get a salt: null keys are
-    spread (they match nothing), hot keys are spread over ``SALTS`` copies of
-    their single dimension row.
+    The join is left to Spark: it broadcasts a small table, and adaptive execution splits the
+    fact rows of a hot or missing key by their measured bytes, so no key has to be counted
+    first. The check groups the table by the join's own key. ``check=False`` is for
+    tables that an aggregate by that key has just made.
     """
-    spark = fact.sparkSession
-    limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    if plan_bytes(dim) <= limit:
-        return fact.join(dim, key, "left")
-    keys = hot_keys(fact, key) if hot == "detect" else list(hot)
-    spread = F.pmod(F.xxhash64(*[col(c) for c in fact.columns]), F.lit(SALTS)).cast("int")
-    is_hot = F.lit(False)
-    if keys:
-        is_hot = F.coalesce(col(key).isin(keys), F.lit(False))
-    left = fact.withColumn("__salt", F.when(col(key).isNull() | is_hot, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.withColumn("__salt", F.explode(copies))
-    return left.join(right, [key, "__salt"], "left").drop("__salt")
+    if check:
+        rest = [c for c in dim.columns if c != key]
+        wrong = F.raise_error(F.concat(F.lit(f"join key {key!r} is not unique: "), col(key).cast("string")))
+        counted = dim.where(col(key).isNotNull()).groupBy(col(key)).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*[col(c) for c in dim.columns])).alias("__row"))
+        row = F.when(F.col("__n") == 1, F.col("__row")).otherwise(wrong)
+        dim = counted.select(col(key), row.alias("__row")).select(col(key), *[F.col("__row").getField(c).alias(c) for c in rest])
+    return fact.join(dim, key, "left")
 
 
 def aggregate_children(

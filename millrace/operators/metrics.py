@@ -67,14 +67,19 @@ def roc_auc(
 def roc_points(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), rows_per_bucket: int = BUCKET_ROWS
 ) -> DataFrame:
-    """False and true positive rate when everything scoring at least ``threshold`` is called positive."""
+    """False and true positive rate when everything scoring at least ``threshold`` is called positive.
+
+    The curve starts at (0, 0), where the threshold is infinite.
+    """
     ranked = running_totals(score_table(df, label, score, by), "score", ["neg", "pos"], by, rows_per_bucket)
-    return ranked.select(
+    points = ranked.select(
         *[col(c) for c in by],
-        F.col("score").alias("threshold"),
+        F.col("score").cast("double").alias("threshold"),
         F.try_divide(F.col("neg_total") - F.col("neg_before"), F.col("neg_total")).alias("fpr"),
         F.try_divide(F.col("pos_total") - F.col("pos_before"), F.col("pos_total")).alias("tpr"),
     )
+    start = ranked.select(*[col(c) for c in by]).distinct() if by else ranked.limit(1).select()
+    return points.unionByName(start.withColumns({"threshold": F.lit(float("inf")), "fpr": F.lit(0.0), "tpr": F.lit(0.0)}))
 
 
 def class_report(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -62,10 +62,3 @@ def present(df: DataFrame, names, missing: str = "skip") -> list[str]:
         raise ValueError(f"columns not found: {sorted(set(names) - set(found))}")
     return found
 
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan, used only to choose between equal strategies."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except ValueError:  # estimates multiply over joins and can outgrow Python's number parsing
-        return 2**62

@@ -34,6 +34,7 @@ def read_csv(
     sep: str = ",",
     keep_order: bool = False,
     keep_corrupt: bool = False,
+    multi_line: bool = False,
     missing_words: Sequence[str] = MISSING_WORDS,
 ) -> DataFrame:
     """Scan CSV as text; typing belongs to the cleaning step.
@@ -41,11 +42,13 @@ def read_csv(
     ``encoding=None`` probes the bytes (UTF-8, else latin-1). ``keep_order``
     adds file, block and row columns that together give the file order under
     any partitioning, for operators that keep the first row of a key.
+    A doubled quote inside a quoted cell is one quote. ``multi_line`` allows line breaks inside
+    quoted cells; such a file cannot be split, so each is read by one task.
     ``keep_corrupt`` adds ``_corrupt_record`` for lines that do not fit.
     """
     if encoding is None:
         encoding = detect_encoding(spark, path)
-    reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+    reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line)
     if columns is not None:
         schema = text_schema(columns)
         if keep_corrupt:
@@ -84,7 +87,7 @@ def typed_by_content(df: DataFrame, skip: Sequence[str] = ROW_ORDER) -> DataFram
 def detect_encoding(spark: SparkSession, path: str | Sequence[str]) -> str:
     """UTF-8 when every line is valid UTF-8, else latin-1; lines are checked in parallel."""
     lines = spark.read.option("encoding", "UTF-8").text(path)
-    broken = lines.where(F.col("value").contains("�") | ~F.is_valid_utf8("value")).limit(1).count()
+    broken = lines.where(~F.is_valid_utf8("value")).limit(1).count()
     return "ISO-8859-1" if broken else "UTF-8"
 
 

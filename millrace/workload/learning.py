@@ -74,7 +74,8 @@ def roc_auc(t):
     "Q8",
     "SELECT modelo, cast(score as double) AS threshold, round(sum(neg) OVER w / sum(neg) OVER g, 6) AS fpr, round(sum(pos) OVER w / sum(pos) OVER g, 6) AS tpr FROM ("
     f"SELECT modelo, score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM ({_SCORED_SQL}) GROUP BY modelo, score) "
-    "WINDOW w AS (PARTITION BY modelo ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), g AS (PARTITION BY modelo)",
+    "WINDOW w AS (PARTITION BY modelo ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), g AS (PARTITION BY modelo) "
+    f"UNION ALL SELECT DISTINCT modelo, cast('Infinity' AS DOUBLE), cast(0 AS DOUBLE), cast(0 AS DOUBLE) FROM ({_SCORED_SQL})",
 )
 def roc_points(t):
     out = metrics.roc_points(_scored(t), "label", "score", ["modelo"])
@@ -551,7 +552,7 @@ def kmeans_search(t):
     rows = keep_for_reuse(cluster.to_vector(t.raw("embeddings"), "embedding"))
     found = []
     for k in (3, 4, 5):
-        model = cluster.best_kmeans(rows, k, restarts=2)
+        model = cluster.best_kmeans(rows, k, restarts=10)
         score = cluster.silhouette_squared(model.transform(rows))
         found.append((f"k={k}", k, round(score, 4), round(model.summary.trainingCost, 4)))
     table = t.spark.createDataFrame(found, "parametros string, n_clusters int, silhouette_score double, inertia double")
@@ -648,26 +649,26 @@ def _labelled(t, kind):
     return keep_for_reuse(ready)
 
 
-# Rounds and trees are the candidates' own parameters, set low enough for a routine check.
+# The candidates' own numbers of trees and rounds; depth is set where the original has no limit.
 _CLF_PARAMS = {
     "02_LogisticRegression": {},
     "04_DecisionTreeClassifier": {"max_depth": 5},
-    "05_RandomForestClassifier": {"n_estimators": 20, "max_depth": 6},
-    "07_GradientBoostingClassifier": {"n_estimators": 10},
-    "08_HistGradientBoosting": {"max_iter": 10, "max_leaf_nodes": 15},
-    "09_AdaBoostClassifier": {"n_estimators": 10},
-    "10_SVC": {"size": 64},
-    "14_BaggingClassifier": {"n_estimators": 10},
+    "05_RandomForestClassifier": {"n_estimators": 100, "max_depth": 6},
+    "07_GradientBoostingClassifier": {},
+    "08_HistGradientBoosting": {},
+    "09_AdaBoostClassifier": {},
+    "10_SVC": {},
+    "14_BaggingClassifier": {"max_depth": 12},
     "15_SGDClassifier": {},
 }
 _REG_PARAMS = {
-    "07_DecisionTreeRegressor": {},
-    "08_RandomForestRegressor": {"n_estimators": 10},
-    "10_GradientBoostingRegressor": {"n_estimators": 10},
-    "11_HistGradientBoosting": {"max_iter": 10},
-    "12_AdaBoostRegressor": {"n_estimators": 10},
-    "13_SVR": {"size": 64},
-    "14_BaggingRegressor": {"n_estimators": 10},
+    "07_DecisionTreeRegressor": {"max_depth": 12},
+    "08_RandomForestRegressor": {"max_depth": 12},
+    "10_GradientBoostingRegressor": {},
+    "11_HistGradientBoosting": {},
+    "12_AdaBoostRegressor": {},
+    "13_SVR": {},
+    "14_BaggingRegressor": {"max_depth": 12},
     "15_SGDRegressor": {},
 }
 _IDS = {
@@ -743,7 +744,7 @@ def parameter_search(t):
 def tuned_stages(t):
     """Base, random-search and grid-search stage of naive Bayes over all orders, best fold score first."""
     done = selection.tune(
-        _orders(t), "clasificacion", "late", "l_orderkey", ["quantity", "discount", "tax"], [], ["11_GaussianNB"], k=3, n_iter=4
+        _orders(t), "clasificacion", "late", "l_orderkey", ["quantity", "discount", "tax"], [], ["11_GaussianNB"], k=5, n_iter=12
     )
     return done.comparison.drop(*["mae", "mse", "rmse", "r2"]).orderBy(F.col("cv_score").desc(), "etapa")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.models import candidates, gaussian, linear, store
 from millrace.operators import cluster, density, graph, nearest, vectorize
+from millrace.operators.moments import class_moments
 from millrace.plans import selection
 
 
@@ -249,3 +250,43 @@ def test_saved_model_scores_alike(spark, tmp_path, name):
 def test_row_keeping_models_have_no_saved_form(labelled, tmp_path):
     with pytest.raises(ValueError):
         store.save_fitted(candidates.build("03_KNeighborsClassifier")(labelled), None, str(tmp_path / "k"))
+
+
+def test_moments_keep_a_small_spread_around_large_values(spark):
+    x = np.array([[1.7e9 + 0.5 * (i % 2), 3.0 * i] for i in range(40)])
+    labels = [float(i % 3 == 0) for i in range(40)]
+    got = class_moments(vectors(spark, x, labels), "label", cross=True)
+    for c in (0.0, 1.0):
+        own = x[np.array(labels) == c]
+        assert np.allclose(got[c].covariance, np.cov(own.T, bias=True), rtol=1e-9)
+    whole = got[0.0] + got[1.0]
+    assert np.allclose(whole.covariance, np.cov(x.T, bias=True), rtol=1e-9) and np.allclose(whole.mean, x.mean(0))
+
+
+def test_automatic_shrinkage_is_per_class(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, [1, 5, 100], (40, 3)), rng.normal([2, 0, 50], [2, 1, 30], (60, 3))])
+    y = np.repeat([0.0, 1.0], [40, 60])
+    df = vectors(spark, x, y)
+    got = gaussian.shrunk_covariances(df, class_moments(df, "label", cross=True))
+    for c in (0.0, 1.0):
+        own = x[y == c]
+        scale = own.std(0)
+        z = (own - own.mean(0)) / scale
+        n, d = z.shape
+        cov = z.T @ z / n
+        mu = np.trace(cov) / d
+        delta = ((cov - mu * np.eye(d)) ** 2).sum() / d
+        beta = sum(((np.outer(r, r) - cov) ** 2).sum() for r in z) / (d * n * n)
+        share = min(beta, delta) / delta
+        want = ((1 - share) * cov + share * mu * np.eye(d)) * np.outer(scale, scale)
+        assert np.allclose(got[c], want)
+
+
+def test_approximate_neighbours_recall(spark, cloud):
+    df = vectors(spark, cloud)
+    found = nearest.approximate_neighbours(df, df, 5, "features", "row_id", bucket_length=4.0, tables=8)
+    near = {(r["id"], r["ref_id"]) for r in found.collect()}
+    gaps = np.sqrt(((cloud[:, None] - cloud[None]) ** 2).sum(-1))
+    true = {(i, int(j)) for i in range(len(cloud)) for j in np.argsort(gaps[i], kind="stable")[:5]}
+    assert len(near & true) >= 0.9 * len(true)

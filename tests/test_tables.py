@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,19 +99,20 @@ def test_min_max_constant_and_null(spark):
     assert [r[2:] for r in rows(features.min_max(df, ["a", "b"]))] == [(0.0, 0.0), (0.0, None), (0.0, 1.0)]
 
 
-def test_label_codes_and_one_hot(spark, monkeypatch):
+def test_label_codes_and_one_hot(spark):
     df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "i int, t string")
     assert [r[2] for r in rows(features.label_encode(df, "t", "code"), "i")] == [1, 2, 0]
     assert [r[2:] for r in rows(features.one_hot(df, "t"), "i")] == [(0, 1, 0), (0, 0, 1), (1, 0, 0)]
-    monkeypatch.setattr(features, "MAX_LEVELS", 1)
     many = spark.createDataFrame([(t,) for t in ("b", "aa", "aaaaaaaaz", "aaaaaaaab", "ñ", "é")], "t string")
     got = {r["t"]: r["code"] for r in features.label_encode(many, "t", "code").collect()}
     assert got == {v: i for i, v in enumerate(sorted(got))}
 
 
-def test_one_hot_refuses_endless_levels(spark):
-    with pytest.raises(ValueError):
-        features.levels(spark.range(20).withColumn("t", F.col("id").cast("string")), "t", limit=10)
+def test_levels_have_no_cap(spark):
+    urls = spark.range(6000).selectExpr("concat('https://example.org/', id) AS t")
+    got = {r["t"]: r["code"] for r in features.label_encode(urls, "t", "code").collect()}
+    assert got == {v: i for i, v in enumerate(sorted(got))} and len(got) == 6000
+    assert len(features.levels(urls, "t")) == 6000
 
 
 def test_rules(spark):
@@ -235,3 +237,35 @@ def test_no_cross_join_in_star_plan(spark):
 
     text = plan(contract.entry(spark))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_join_refuses_a_repeated_key(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "i int, k string")
+    once = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    assert {r["i"]: r["v"] for r in join.left_join_unique(fact, once, "k").collect()} == {1: 1, 2: None, 3: None}
+    twice = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(Exception, match="not unique"):
+        join.left_join_unique(fact, twice, "k").collect()
+
+
+def test_csv_keeps_quotes_and_breaks_inside_cells(spark, tmp_path):
+    path = tmp_path / "quoted.csv"
+    path.write_text('a,b\n"x ""y"" z",1\n"line\nbreak",2\n', encoding="utf-8")
+    rows = tables.read_csv(spark, str(path), multi_line=True).collect()
+    assert [(r["a"], r["b"]) for r in rows] == [('x "y" z', "1"), ("line\nbreak", "2")]
+
+
+def test_charset_probe(spark, tmp_path):
+    (tmp_path / "utf.csv").write_bytes("a\nreplacement � char\n".encode())
+    (tmp_path / "latin.csv").write_bytes("a\nPucón\n".encode("latin-1"))
+    assert tables.detect_encoding(spark, str(tmp_path / "utf.csv")) == "UTF-8"
+    assert tables.detect_encoding(spark, str(tmp_path / "latin.csv")) == "ISO-8859-1"
+
+
+def test_holdout_sizes(spark):
+    df = spark.range(1000).selectExpr("id", "cast(id % 4 = 0 as int) AS y")
+    for size in (0.2, 0.3, 0.4):
+        train, held = folds.holdout(df, ["id"], size, "y")
+        assert held.count() == math.ceil(750 * size) + math.ceil(250 * size)
+        assert train.count() + held.count() == 1000 and train.join(held, "id").count() == 0
+    assert folds.holdout(df, ["id"], 0.3)[1].count() == 300
