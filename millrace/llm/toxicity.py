@@ -62,14 +62,25 @@ def _odds(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> n
     return (np.log(p / q) * seen / (seen + 4.0)).astype(np.float32)
 
 
+def _gram_slots(words: pa.Array, bits: int, step: int = 20_000):
+    """For lots of words in turn: (first word, slots of their character n-grams word by word, where each word's begin)."""
+    for i in range(0, len(words), step):
+        some = words.slice(i, step)
+        grams, owner = char_grams(some)
+        order = np.argsort(owner, kind="stable")
+        yield i, _slots(grams[order], bits).astype(np.int32), np.searchsorted(owner[order], np.arange(len(some) + 1))
+
+
 def gather_evidence(texts: list[str], toxic: np.ndarray, bits: int) -> Evidence:
     offsets, codes, words = split_words(pa.array(texts, pa.string()))
     word_slot = _slots(word_hashes(words), bits)
-    grams, owner = char_grams(words)
-    gram_slot = _slots(grams, bits)
-    order = np.argsort(owner, kind="stable")
-    gram_slot, ends = gram_slot[order], np.searchsorted(owner[order], np.arange(len(words) + 1))
-    counts = np.zeros((2, 2, 1 << bits))
+    lots, ends, at = [], [np.zeros(1, np.int64)], 0
+    for _, slots, bounds in _gram_slots(words, bits):
+        lots.append(slots)
+        ends.append(bounds[1:] + at)
+        at += len(slots)
+    gram_slot, ends = np.concatenate(lots), np.concatenate(ends)
+    counts = np.zeros((2, 2, 1 << bits), np.float32)
     for i, label in enumerate(toxic):
         mine = np.unique(codes[offsets[i] : offsets[i + 1]])
         counts[0, label, np.unique(word_slot[mine])] += 1
@@ -86,15 +97,13 @@ def word_inputs(words: pa.Array, evidence: Evidence) -> np.ndarray:
     if not len(words):
         return out
     out[:, 0] = evidence.words[_slots(word_hashes(words), evidence.bits)]
-    grams, owner = char_grams(words)
-    odds = evidence.chars[_slots(grams, evidence.bits)]
-    order = np.argsort(owner, kind="stable")
-    odds, owner = odds[order], owner[order]
-    first = np.flatnonzero(np.diff(owner, prepend=-1))  # every word has a gram: marks make it three bytes at least
-    out[owner[first], 1] = np.maximum.reduceat(odds, first)
-    out[owner[first], 2] = np.add.reduceat(odds, first) / np.diff(np.append(first, len(odds)))
-    out[owner[first], 3] = np.minimum.reduceat(odds, first)
-    out[:, 4] = np.log1p(np.diff(np.append(first, len(odds)))) / 4
+    for i, slots, bounds in _gram_slots(words, evidence.bits):
+        odds, first = evidence.chars[slots], bounds[:-1]  # every word has a gram: marks make it three bytes at least
+        n, rows = np.diff(bounds), slice(i, i + len(first))
+        out[rows, 1] = np.maximum.reduceat(odds, first)
+        out[rows, 2] = np.add.reduceat(odds, first) / n
+        out[rows, 3] = np.minimum.reduceat(odds, first)
+        out[rows, 4] = np.log1p(n) / 4
     return out
 
 
@@ -284,12 +293,14 @@ def train(texts: list[str], labels: list[int], bits: int = 18, epochs: int = 6,
     if not len(start):
         return None
     last = offsets[1:][text]
-    at = start[:, None] + np.arange(WINDOW)
+    at = (start[:, None] + np.arange(WINDOW)).astype(np.int32)
     mask = at < last[:, None]
-    token = codes[np.minimum(at, len(codes) - 1)]
+    token = codes.astype(np.int32)[np.minimum(at, len(codes) - 1)]
+    del at, words
     side = half[text]
-    own = np.where(side[:, None] == 0, fixed[0][token, 1], fixed[1][token, 1])
-    value = np.where(mask, own, -9).max(1)
+    value = np.empty(len(start), np.float32)
+    for h in (0, 1):
+        value[side == h] = np.where(mask[side == h], fixed[h][token[side == h], 1], -9).max(1)
 
     def batch_of(rows):
         f = np.where((side[rows] == 0)[:, None, None], fixed[0][token[rows]], fixed[1][token[rows]])
