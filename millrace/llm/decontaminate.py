@@ -40,6 +40,10 @@ def _with_window_hashes(df: DataFrame, lengths: list[int]) -> DataFrame:
     return df
 
 
+def _tagged(n: int) -> Column:
+    return F.transform(f"g{n}", lambda h, i: F.struct(i.alias("start"), h.alias("h"), F.lit(n).alias("length")))
+
+
 class Decontaminator:
     """Finds and removes benchmark windows in documents.
 
@@ -91,7 +95,7 @@ class Decontaminator:
         if len(self.lengths) == 1:
             rows = scan.select(*_KEY, F.posexplode_outer(f"g{self.lengths[0]}").alias("start", "h")).withColumn("length", F.lit(self.lengths[0]))
         else:
-            tagged = F.concat(*[F.transform(f"g{n}", lambda h, i, n=n: F.struct(i.alias("start"), h.alias("h"), F.lit(n).alias("length"))) for n in self.lengths])
+            tagged = F.concat(*[_tagged(n) for n in self.lengths])
             rows = scan.select(*_KEY, F.inline_outer(tagged))
         # The outer forms keep Spark from deriving a filter that would compute the arrays once more below.
         found = stage(rows.join(self._side(self._set()), ["h", "length"]).select(*_KEY, "start", "length").distinct(), "bench-hits")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fmix, pieces, query, split_words, stage, table, word_hashes
@@ -45,32 +46,63 @@ def _blocks(batches):
             yield int.from_bytes(seal.digest(), "little", signed=True), keys, np.diff(offsets), codes, words
 
 
-def _grams(order: int):
-    """Each distinct n-gram of a block once: (gram hash, block, place in the block's list, count)."""
+def gram_hashes(words: np.ndarray, codes: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, count) of each distinct n-gram of a block, orders one after another; ``words`` holds the word hashes."""
+    hashes, times, last = [], [], None
+    for k, (_, ids, size, pairs) in enumerate(gram_ids(codes, _positions(counts), order), 1):
+        last = fmix(words * _K[0] + np.uint64(1)) if k == 1 else fmix(last[pairs // len(words)] * _K[0] + words[pairs % len(words)] * _K[1] + np.uint64(k))
+        hashes.append(last)
+        times.append(np.bincount(ids, minlength=size))
+    return np.concatenate(hashes), np.concatenate(times)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Unsigned numbers of equal count as compressed byte planes."""
+    planes = [np.ascontiguousarray(c.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def _unpack(packed: bytes, n: int, columns: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(columns, 8, n)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64).reshape(columns, n)
+
+
+def _count_rows(order: int, parts: int):
+    """The exploded n-grams of a block: a row per hash partition, n-grams in hash order as steps, with counts."""
 
     def run(batches):
         for block, _, counts, codes, words in _blocks(batches):
-            first, shift = word_hashes(words), 0
+            if not len(codes):
+                continue
             with np.errstate(over="ignore"):
-                hashes = fmix(first * _K[0] + np.uint64(1))
-                for k, (_, ids, size, pairs) in enumerate(gram_ids(codes, _positions(counts), order), 1):
-                    if k > 1:
-                        hashes = fmix(hashes[pairs // len(words)] * _K[0] + first[pairs % len(words)] * _K[1] + np.uint64(k))
-                    times = np.bincount(ids, minlength=size)
-                    for i in range(0, size, 100_000):
-                        n = len(times[i : i + 100_000])
-                        columns = [hashes[i : i + n].view(np.int64), np.full(n, block), np.arange(shift + i, shift + i + n, dtype=np.int32), times[i : i + n].astype(np.int32)]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "block", "place", "n"])
-                    shift += size
+                hashes, times = gram_hashes(word_hashes(words), codes, counts, order)
+            turn = np.argsort(hashes, kind="stable")
+            hashes, times = hashes[turn], times[turn]
+            part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            rows = [(int(part[i]), block, j - i, _pack(np.diff(hashes[i:j], prepend=np.uint64(0)), times[i:j])) for i, j in pairwise([0, *cuts, len(part)])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["part", "block", "n", "packed"])
 
     return run
 
 
+def _join_counts(rows: pa.Table) -> pa.Table:
+    """The count table of one hash partition, joined back to each block's n-grams."""
+    sizes = rows.column("n").to_pylist()
+    found = [_unpack(p, n, 2) for n, p in zip(sizes, rows.column("packed").to_pylist(), strict=True)]
+    grams, place = np.unique(np.concatenate([np.cumsum(f[0], dtype=np.uint64) for f in found]), return_inverse=True)
+    table = np.zeros(len(grams), np.uint64)
+    np.add.at(table, place, np.concatenate([f[1] for f in found]))
+    ends = np.cumsum([0, *sizes])
+    packed = [_pack(table[place[i:j]]) for i, j in pairwise(ends)]
+    return pa.table([rows.column("block"), rows.column("part"), rows.column("n"), pa.array(packed, pa.binary())], ["block", "part", "n", "packed"])
+
+
 def _layouts(batches):
-    for block, keys, counts, codes, _ in _blocks(batches):
-        planes = np.ascontiguousarray(codes.astype(np.uint32).view(np.uint8).reshape(-1, 4).T)
-        row = [pa.array([block]), pa.array([keys.to_pylist()], pa.list_(keys.type)), pa.array([counts], pa.list_(pa.int32())), pa.array([zstandard.compress(planes.tobytes(), 3)], pa.binary())]
-        yield pa.RecordBatch.from_arrays(row, ["block", "keys", "counts", "codes"])
+    for block, keys, counts, codes, words in _blocks(batches):
+        columns = [[block], [keys.to_pylist()], [counts], [len(words)], [word_hashes(words).tobytes()], [_pack(codes)]]
+        kinds = (pa.int64(), pa.list_(keys.type), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["block", "keys", "counts", "n_words", "words", "codes"])
 
 
 def own_counts(text: np.ndarray, ids: np.ndarray, size: int, step: int = 1 << 20) -> np.ndarray:
@@ -116,28 +148,31 @@ def _scored(order: int, alpha: float):
     def run(grams: pa.Table, layout: pa.Table) -> pa.Table:
         if layout.num_rows == 0:
             raise ValueError("the texts changed between two scans")
-        place, total = grams.column("place").to_numpy(), grams.column("total").to_numpy()
+        parts = dict(zip(grams.column("part").to_pylist(), zip(grams.column("n").to_pylist(), grams.column("packed").to_pylist(), strict=True), strict=True))
+        found = [_unpack(packed, n, 1)[0] for _, (n, packed) in sorted(parts.items())]  # equal blocks of repeated rows share their counts
         out = []
-        for keys, counts, packed in zip(*(layout.column(c).to_pylist() for c in ("keys", "counts", "codes")), strict=True):
-            planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-            codes = np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1).astype(np.int64)
+        for keys, counts, words, packed in zip(*(layout.column(c).to_pylist() for c in ("keys", "counts", "words", "codes")), strict=True):
+            codes = _unpack(packed, sum(counts), 1)[0].astype(np.int64)
+            counts, totals = np.array(counts, np.int64), np.zeros(0, np.int64)
+            if len(codes):
+                with np.errstate(over="ignore"):
+                    hashes, times = gram_hashes(np.frombuffer(words, np.uint64), codes, counts, order)
+                totals = np.empty(len(hashes), np.int64)
+                totals[np.argsort(hashes, kind="stable")] = np.concatenate(found)
             shift = [0]
 
-            def totals_of(_, size, own, shift=shift):
-                inside = (place >= shift[0]) & (place < shift[0] + size)
-                totals = own.astype(np.int64)
-                totals[place[inside] - shift[0]] = total[inside]
+            def totals_of(_, size, own, totals=totals, shift=shift):
                 shift[0] += size
-                return totals
+                return totals[shift[0] - size : shift[0]]
 
-            sums, short = score_tokens(codes, np.array(counts), totals_of, order, alpha)
+            sums, short = score_tokens(codes, counts, totals_of, order, alpha)
             out.append(pa.table([pa.array(keys, layout.schema.field("keys").type.value_type), pa.array(counts, pa.int64()), pa.array(sums), pa.array(short)], ["key", "n_words", "logs", "short"]))
         return pa.concat_tables(out)
 
     return run
 
 
-def score(docs: DataFrame, order: int = 2, alpha: float = 0.4, key: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, order: int = 2, alpha: float = 0.4, key: str = "doc_id", grams_per_part: int = 2_000_000) -> DataFrame:
     """(key, n_words, n_backoff, log_score, mean_log_score) of every whole text.
 
     A word w after context u scores c(uw) / c(u) where uw is seen in another document, else alpha times
@@ -145,10 +180,11 @@ def score(docs: DataFrame, order: int = 2, alpha: float = 0.4, key: str = "doc_i
     of 0. Counts cover all documents and leave the scored document out, so a text is not evidence for
     itself. ``n_backoff`` is the number of words that ended at their own count. Logs are natural.
 
-    Count tables are partitioned by the n-gram's hash: each block of texts sends a distinct n-gram
-    once, so a common n-gram has a row per block and is no hot key. The n-gram's rows meet in a window that sums them,
-    and totals go back to the block (only those that other blocks add to), where
-    they are summed per document. Texts never travel, only word numbers do.
+    Count tables are partitioned by the n-gram's hash. Each block of texts sends a distinct n-gram
+    once to its partition, so a common n-gram comes once a block and is no hot key; there the table is
+    summed and joined to the n-grams, and counts go back to the block, where they are summed per document. A
+    row of the shuffle holds the n-grams of one block and partition, packed; ``grams_per_part`` bounds
+    what meets in one task. Texts never travel, only numbers do.
 
     Defined cases: a null, empty or wordless text has 0 words, score 0 and a null mean; null or
     repeated keys are carried along (copies under one key are still documents of their own);
@@ -156,11 +192,12 @@ def score(docs: DataFrame, order: int = 2, alpha: float = 0.4, key: str = "doc_i
     """
     kind = dict(docs.dtypes)[key]
     rows = docs.select(key, F.col("text").cast("string").alias("text"))
-    grams = rows.mapInArrow(_grams(order), "gram long, block long, place int, n int")
-    counted = grams.withColumn("total", F.sum("n").over(Window.partitionBy("gram")))
-    totals = counted.where("total > n").select("block", "place", "total")
-    layouts = rows.mapInArrow(_layouts, f"block long, keys array<{kind}>, counts array<int>, codes binary")
-    parts = totals.groupBy("block").cogroup(layouts.groupBy("block")).applyInArrow(_scored(order, alpha), f"key {kind}, n_words long, logs double, short long")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n_parts = max(16, size * order // (6 * grams_per_part))
+    grams = rows.mapInArrow(_count_rows(order, n_parts), "part int, block long, n int, packed binary")
+    counted = grams.groupBy("part").applyInArrow(_join_counts, "block long, part int, n int, packed binary")
+    layouts = rows.mapInArrow(_layouts, f"block long, keys array<{kind}>, counts array<int>, n_words int, words binary, codes binary")
+    parts = counted.groupBy("block").cogroup(layouts.groupBy("block")).applyInArrow(_scored(order, alpha), f"key {kind}, n_words long, logs double, short long")
     parts = stage(parts.withColumnRenamed("key", key), "lm-parts")
     n = parts.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     rest = F.log(F.greatest(F.lit(n) - F.col("n_words"), F.lit(1)))
