@@ -123,7 +123,7 @@ def _unpack(packed: bytes, *sizes: int) -> list[np.ndarray]:
     raw, at, out = zstandard.decompress(packed), 0, []
     for n in sizes:
         planes = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
-        out.append(np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1).astype(np.int64))
+        out.append(np.ascontiguousarray(planes.T).view(np.int32).reshape(-1))
         at += 4 * n
     return out
 
@@ -192,15 +192,14 @@ def _reassemble(words: pa.Table, layout: pa.Table) -> pa.Table:
     if layout.num_rows == 0:
         raise ValueError("the texts changed between two scans")
     parts = [_unpack(p, n, n, m) for n, m, p in zip(*(words.column(c).to_pylist() for c in ("n", "m", "packed")), strict=True)]
-    place, sizes, flat = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int64)]) for i in range(3))
-    starts = np.cumsum(sizes) - sizes
+    place, sizes, flat = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int32)]) for i in range(3))
+    starts = np.cumsum(sizes, dtype=np.int64) - sizes
     _, order = np.unique(place, return_index=True)  # equal blocks of repeated rows share their words
     starts, sizes = starts[order], sizes[order]
-    flat = flat.astype(np.int32)
     out = []
     for keys, counts, packed in zip(*(layout.column(c).to_pylist() for c in ("keys", "counts", "codes")), strict=True):
         (codes,) = _unpack(packed, sum(counts))
-        per_word = np.concatenate([[0], np.cumsum(sizes[codes])])
+        per_word = np.concatenate([[0], np.cumsum(sizes[codes], dtype=np.int64)])
         ends = per_word[np.concatenate([[0], np.cumsum(counts)])]
         ids = np.empty(per_word[-1], np.int32)
         for i in range(0, len(codes), 500_000):  # bounds the gathered indices
@@ -241,13 +240,16 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(listed), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-def _decoded(ids: pa.ListArray, blob, starts, sizes):
-    """Join each id with its bytes: (bytes of all rows, offset per row)."""
-    offsets = ids.offsets.to_numpy().astype(np.int64)
-    flat = ids.values.to_numpy()[offsets[0] : offsets[-1]]
-    data = blob[_gather(starts, sizes, flat)]
-    ends = np.concatenate([[0], np.cumsum(sizes[flat])])
-    return data, ends[offsets - offsets[0]]
+def _decoded(ids: np.ndarray, lookup, step: int = 500_000) -> bytes:
+    """Join each id of a row with its bytes, a bounded lot of ids at a time."""
+    blob, starts, sizes = lookup
+    return b"".join(blob[_gather(starts, sizes, ids[i : i + step])].tobytes() for i in range(0, len(ids), step))
+
+
+def _rows_of(ids: pa.ListArray):
+    flat = ids.values.to_numpy()
+    for a, b in pairwise(ids.offsets.to_numpy()):
+        yield flat[a:b]
 
 
 def _whole(ids: pa.Array) -> pa.ListArray:
@@ -263,9 +265,8 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            data, ends = _decoded(_whole(batch.column("ids")), *lookup.value)
-            raw = data.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([raw[a:b] for a, b in pairwise(ends)], pa.binary())], [key, "decoded"])
+            rows = [_decoded(r, lookup.value) for r in _rows_of(_whole(batch.column("ids")))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], [key, "decoded"])
 
     return encoded.select(key, "ids").mapInArrow(run, f"{key} {dict(encoded.dtypes)[key]}, decoded binary")
 
@@ -277,13 +278,11 @@ def digests(encoded: DataFrame, path: str, key: str = "doc_id", keep_ids: bool =
     def run(batches):
         for batch in batches:
             ids = _whole(batch.column("ids"))
-            data, ends = _decoded(ids, *lookup.value)
-            offsets = ids.offsets.to_numpy()
-            flat = memoryview(ids.values.to_numpy().astype("<u4")).cast("B")
-            raw = memoryview(data)
-            own = [hashlib.sha256(flat[4 * a : 4 * b]).hexdigest() for a, b in pairwise(offsets)]
-            back = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in pairwise(ends)]
-            columns = [batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(own), pa.array(back)] + [ids] * keep_ids
+            own, back = [], []
+            for row in _rows_of(ids):
+                own.append(hashlib.sha256(row.astype("<u4").tobytes()).hexdigest())
+                back.append(hashlib.sha256(_decoded(row, lookup.value)).hexdigest())
+            columns = [batch.column(0), pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()), pa.array(own), pa.array(back)] + [ids] * keep_ids
             yield pa.RecordBatch.from_arrays(columns, [key, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
 
     schema = f"{key} {dict(encoded.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
