@@ -144,8 +144,9 @@ class Decontaminator:
             gone = stage(hits.select(*_KEY).distinct(), "bench-gone")
             return docs.alias("d").join((F.broadcast(gone) if gone.count() <= self.broadcast_rows else gone).alias("h"), same, "left_anti").select(*docs.columns)
         gone = hits.select(*_KEY, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("at")).groupBy(*_KEY).agg(F.collect_set("at").alias("gone"))
-        pieces = F.expr(r"regexp_extract_all(d.text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]*', 0)")
-        head = F.expr(r"regexp_extract(d.text, '^[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]*', 0)")
+        gap = r"\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F"  # the separators of a text that is not lower-cased
+        pieces = F.expr(f"regexp_extract_all(d.text, '[^{gap}]+[{gap}]*', 0)")
+        head = F.expr(f"regexp_extract(d.text, '^[{gap}]*', 0)")
         kept = F.filter(pieces, lambda w, i: ~F.array_contains(F.col("h.gone"), i))
         text = F.when(F.col("h.gone").isNull(), F.col("d.text")).otherwise(F.concat(head, F.array_join(kept, "")))
         return docs.alias("d").join(gone.alias("h"), same, "left").select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])

@@ -42,8 +42,11 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri if urlparse(uri).scheme else f"file://{uri}")
 
 
-def _sequences(bases, marks, size, key, ids, kind):
-    """Cuts each document's ids into sequences and numbers them within the partition: (slot, key, part, n, record)."""
+_RECORD = ("slot", "doc_id", "part", "n_tokens", "record")
+
+
+def _sequences(bases, marks, size, key, ids, kind, shard_records):
+    """Cuts each document's ids into sequences, numbers them within the partition, and packs them by shard."""
 
     def run(batches):
         me = TaskContext.get().partitionId()
@@ -63,51 +66,53 @@ def _sequences(bases, marks, size, key, ids, kind):
                 with np.errstate(over="ignore"):
                     slots = feistel(np.arange(place, place + len(keys)), size, key)
                 place += len(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(keys, kind), pa.array(parts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(records, pa.binary())], ["slot", "doc_id", "part", "n_tokens", "record"])
+                made = pa.RecordBatch.from_arrays([pa.array(slots), pa.array(keys, kind), pa.array(parts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(records, pa.binary())], names=_RECORD)
+                shards = slots // shard_records
+                turn = np.argsort(shards, kind="stable")
+                cuts = np.flatnonzero(np.diff(shards[turn])) + 1
+                lots = np.split(turn, cuts) if len(turn) else []
+                packed = [_packed(made.take(pa.array(lot))) for lot in lots]
+                yield pa.RecordBatch.from_arrays([pa.array([int(shards[lot[0]]) for lot in lots], pa.int32()), pa.array(packed, pa.binary())], ["shard", "packed"])
         if seal != marks.get(me, 0):
             raise ValueError("a partition gave other documents than when they were counted")
 
     return run
 
 
+def _packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def _write(folder: str, shard_records: int, total: int, stride: int):
-    """Appends each shard's records in slot order to one file; a file takes its name when it is whole.
+    """Writes one shard: its records in slot order, in a file that takes its name when it is whole.
 
     A lost task leaves only a file under its attempt's name, and writing again gives the same bytes.
     """
 
-    def run(batches):
+    def run(group: pa.Table) -> pa.Table:
+        shard = group.column("shard")[0].as_py()
+        rows = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in group.column("packed").to_pylist()])
+        slots = rows.column("slot").to_numpy()
+        turn = np.argsort(slots)
+        rows, slots = rows.take(pa.array(turn)), slots[turn]
+        if len(slots) != min(shard_records, total - shard * shard_records) or (np.diff(slots) != 1).any():
+            raise ValueError(f"shard {shard} has {len(slots)} records, or not those of its slots")
         files, base = _filesystem(folder)
-        attempt = TaskContext.get().taskAttemptId()
-        shard, out, wrote = None, None, 0
-
-        def finish():
-            want = min(shard_records, total - shard * shard_records)
-            out.close()
-            if wrote != want:
-                raise ValueError(f"shard {shard} has {wrote} of {want} records")
-            files.move(f"{base}/.{shard:08d}-{attempt}", f"{base}/{shard:08d}.bin")
-
-        for batch in batches:
-            slots = batch.column("slot").to_numpy()
-            sums = []
-            for slot, n, raw in zip(slots.tolist(), batch.column("n_tokens").to_pylist(), batch.column("record").to_pylist(), strict=True):
-                if slot // shard_records != shard:
-                    if out is not None:
-                        finish()
-                    shard, wrote = slot // shard_records, 0
-                    out = files.open_output_stream(f"{base}/.{shard:08d}-{attempt}", buffer_size=1 << 20)
+        attempt, sums = TaskContext.get().taskAttemptId(), []
+        with files.open_output_stream(f"{base}/.{shard:08d}-{attempt}", buffer_size=1 << 20) as out:
+            for n, raw in zip(rows.column("n_tokens").to_pylist(), rows.column("record").to_pylist(), strict=True):
                 record = n.to_bytes(HEADER, "little") + raw.ljust(stride - HEADER, b"\0")
                 out.write(record)
                 sums.append(zlib.crc32(record))
-                wrote += 1
-            shards = slots // shard_records
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("slot"), pa.array(shards.astype(np.int32)), pa.array((slots - shards * shard_records) * stride), batch.column("doc_id"), batch.column("part"), batch.column("n_tokens"), pa.array(sums, pa.int64())],
-                ["slot", "shard", "offset", "doc_id", "part", "n_tokens", "record_crc32"],
-            )
-        if out is not None:
-            finish()
+        files.move(f"{base}/.{shard:08d}-{attempt}", f"{base}/{shard:08d}.bin")
+        columns = {
+            "slot": slots, "shard": np.full(len(slots), shard, np.int32), "offset": (slots - shard * shard_records) * stride,
+            "doc_id": rows.column("doc_id"), "part": rows.column("part"), "n_tokens": rows.column("n_tokens"), "record_crc32": pa.array(sums, pa.int64()),
+        }
+        return pa.table(columns)
 
     return run
 
@@ -144,9 +149,10 @@ def materialise(docs: DataFrame, folder: str, ids: int = 510, shard_bytes: int =
     with files.open_output_stream(f"{base}/layout.json") as f:
         f.write(json.dumps({"records": total, "stride": stride, "header": HEADER, "shard_records": records, "shards": shards, "key": key}).encode())
     kind = dict(docs.dtypes)["doc_id"]
-    made = rows.mapInArrow(_sequences(bases, marks, total, key, ids, {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]), f"slot long, doc_id {kind}, part int, n_tokens int, record binary")
-    ranged = made.repartition(max(1, shards), (F.col("slot") / records).cast("long")).sortWithinPartitions("slot")
-    return ranged.mapInArrow(_write(folder, records, total, stride), f"slot long, shard int, offset long, doc_id {kind}, part int, n_tokens int, record_crc32 long")
+    arrow_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    made = rows.mapInArrow(_sequences(bases, marks, total, key, ids, arrow_kind, records), "shard int, packed binary")
+    schema = f"slot long, shard int, offset long, doc_id {kind}, part int, n_tokens int, record_crc32 long"
+    return made.groupBy("shard").applyInArrow(_write(folder, records, total, stride), schema)
 
 
 def read_slots(folder: str, start: int, count: int):
