@@ -27,30 +27,27 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """Exact number of distinct non-null values per column ordinal.
+    """Exact number of distinct non-null values per column ordinal, from one scan.
 
-    Each row becomes (ordinal, value) pairs, one set per storage kind, that
-    are deduplicated by a narrow hash aggregate. Counting all columns with
+    Each row becomes (ordinal, value) rows with the value in the column of its storage
+    kind, which are deduplicated by one hash aggregate. Counting all columns with
     ``count(DISTINCT)`` in one aggregate would carry every column in every key.
     """
-    kinds: dict[str, list[Column]] = {}
+    pairs = []
     for i, f in enumerate(df.schema.fields):
         c = col(f.name)
+        whole, number, text = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
         if isinstance(f.dataType, T.IntegralType):
-            kind, value = "bigint", c.cast("bigint")
+            whole = c.cast("bigint")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            kind, value = "double", c.cast("double")
+            number = c.cast("double")
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            kind, value = "string", F.when(c.isNotNull(), F.to_json(F.struct(c)))
+            text = F.when(c.isNotNull(), F.to_json(F.struct(c)))
         else:
-            kind, value = "string", c.cast("string")
-        kinds.setdefault(kind, []).append(F.struct(F.lit(i).alias("ordinal"), value.alias("value")))
-    out = None
-    for pairs in kinds.values():
-        long = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
-        counted = long.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("distinct"))
-        out = counted if out is None else out.unionByName(counted)
-    return out
+            text = c.cast("string")
+        pairs.append(F.struct(F.lit(i).alias("ordinal"), whole.alias("whole"), number.alias("number"), text.alias("text")))
+    long = df.select(F.inline(F.array(*pairs))).where("whole is not null or number is not null or text is not null")
+    return long.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("distinct"))
 
 
 def table_profile(df: DataFrame, name: str, approx_distinct: bool = False) -> DataFrame:

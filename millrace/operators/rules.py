@@ -13,7 +13,7 @@ from millrace.operators.join import orphan_keys
 from millrace.operators.profile import percent
 from millrace.session import col
 
-# States of a rule, in reporting order.
+# States of a rule, in reporting order. The Spanish result texts below are fixed too.
 ERROR, WARNING, OK = "ERROR", "ADVERTENCIA", "OK"
 RESULT_SCHEMA = "check string, estado string, detalle string, n_afectados bigint, porcentaje double"
 RESULT_COLUMNS = ("check", "estado", "detalle", "n_afectados", "porcentaje")
