@@ -17,7 +17,7 @@ from millrace.functions.numbers import to_number
 from millrace.models import candidates
 from millrace.operators import clean, cluster, density, features, join, nearest, prepare, profile, rules, vectorize
 from millrace.plans import selection
-from millrace.session import col, cut_lineage
+from millrace.session import col, cut_lineage, stage
 from millrace.sources.tables import ROW_ORDER, read_csv, typed_by_content
 
 # Default parameters of the example.
@@ -91,7 +91,7 @@ def clean_shipments(envios: DataFrame, params: Mapping[str, Any]) -> DataFrame:
     df = clean.clean_ids(df, ["id_envio", "id_ruta", "id_vehiculo"], positive_only=True)
     df = clean.parse_dates(df, ["fecha_envio", "fecha_entrega"])
     df = clean.title_columns(df, {"tipo_carga_norm": "tipo_carga", "estado": "estado"})
-    df = cut_lineage(clean.coerce_numbers(df, ["peso_kg", "volumen_m3"]))
+    df = stage(clean.coerce_numbers(df, ["peso_kg", "volumen_m3"]), "shipments")
     df = clean.fill_mode(df, ["id_ruta"])
     fence = params["outliers"]
     return clean.drop_outliers(df, fence["columnas_peso"], fence["iqr_multiplier"])
@@ -181,7 +181,7 @@ def build_master(raw: Mapping[str, DataFrame], params: Mapping[str, Any] | None
         "incidencias": clean_incidents(raw["incidencias"]),
     }
     joined = derive(join_master(*[cleaned[n] for n in ("envios", "rutas", "vehiculos", "incidencias")]))
-    return encode_and_scale(cut_lineage(joined), params), cleaned
+    return encode_and_scale(stage(joined, "master"), params), cleaned
 
 
 DECLARED = (
@@ -222,7 +222,7 @@ def prepare_base(master: DataFrame, params: Mapping[str, Any] | None = None) ->
     df = prepare.drop_columns(df, LEAKED + REDUNDANT)
     df = prepare.drop_prefixed(df, "tipo_carga_", keep=["tipo_carga_norm"])
     df = features.calendar(df, "fecha_envio", CALENDAR).drop("fecha_envio")
-    df = cut_lineage(prepare.rename_by_fragment(df, "fabricaci", YEAR))
+    df = stage(prepare.rename_by_fragment(df, "fabricaci", YEAR), "base")
     df, _ = prepare.impute_medians(df, [*IMPUTED_NUMBERS, YEAR, *CALENDAR.values()])
     df, _ = prepare.impute_modes(df, [*CATEGORIES, "id_vehiculo"])
     return prepare.keep_eligible(df, _training_ranges(params))

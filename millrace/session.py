@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Iterative operators call this once per round. The files live on shared
     storage, so a lost executor costs a re-read and not a re-run of the loop.
     """
+    _set_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table as Parquet below the shared folder and read it back.
+
+    Unlike a checkpoint it keeps columns prunable and takes pushed filters. The
+    folder carries the application id; its owner clears it.
+    """
     spark = df.sparkSession
+    _set_folder(spark)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _set_folder(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,7 +62,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="millrace-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
 
 
 def col(name: str) -> Column:
