@@ -1,8 +1,7 @@
-"""Shared-folder stages and the vectorised word splitter of the text operators."""
+"""Registry, shared folder, and the vectorised word splitter of the text operators."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -12,7 +11,7 @@ import pyarrow.compute as pc
 from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.session import build_session, cut_lineage  # noqa: F401
+from millrace.session import cut_lineage, stage  # noqa: F401
 
 
 @dataclass
@@ -49,19 +48,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    A stage cuts lineage like a checkpoint but keeps columns prunable. A lost
-    executor costs a re-read. The files carry the application id and stay
-    until the folder's owner clears them.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fmix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads 64-bit values (public splitmix constants)."""
     x = x ^ (x >> np.uint64(30))
