@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, langid, toxicity
-from millrace.llm.common import stage, table
+from millrace.llm.common import small_batches, stage, table
 from millrace.llm.decontaminate import Decontaminator
 from millrace.llm.ngram_join import keep_one
 
@@ -24,11 +24,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; the filters learn from three quarters of the documents."""
+    small_batches(spark)
     return langid.reject(docs, langid.fit(docs.where(F.col("doc_id").isNotNull() & (langid.held_out(4) != 2))))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the n-gram Jaccard join."""
+    small_batches(spark)
     return keep_one(docs)
 
 
@@ -39,6 +41,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document with the digests of the ids and of the decoded bytes."""
+    small_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN), path, keep_ids=True)
 

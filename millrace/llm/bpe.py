@@ -15,7 +15,7 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import pieces, query, table
+from millrace.llm.common import lots, query, table
 
 BLOCK_BYTES = 32 << 20
 
@@ -89,17 +89,16 @@ def _blocks(batches, pattern: str):
     and layouts must agree on it or nothing matches.
     """
     split = splitter(pattern)
-    for batch in batches:
-        for part in pieces(batch, "text", BLOCK_BYTES):
-            index, codes, counts, seal = _Index(), [], [], hashlib.blake2b(digest_size=8)
-            seal.update(repr(part.column(0).to_pylist()).encode())
-            place = index.__getitem__
-            for text in part.column("text").to_pylist():
-                found = split(text or "")
-                counts.append(len(found))
-                codes.append(np.fromiter(map(place, found), np.uint32, len(found)))
-                seal.update((text or "").encode())
-            yield int.from_bytes(seal.digest(), "little", signed=True), part.column(0), counts, np.concatenate(codes), index
+    for part in lots(batches, "text", BLOCK_BYTES):
+        index, codes, counts, seal = _Index(), [], [], hashlib.blake2b(digest_size=8)
+        seal.update(repr(part.column(0).to_pylist()).encode())
+        place = index.__getitem__
+        for text in part.column("text").to_pylist():
+            found = split(text or "")
+            counts.append(len(found))
+            codes.append(np.fromiter(map(place, found), np.uint32, len(found)))
+            seal.update((text or "").encode())
+        yield int.from_bytes(seal.digest(), "little", signed=True), part.column(0), counts, np.concatenate(codes), index
 
 
 def _words(pattern: str):

@@ -35,10 +35,16 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    small_batches(spark)
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows of texts go to Python in small batches, which bounds what Arrow holds in a task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: ``spark.checkpoint.dir``, a temporary one only in local sessions."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -82,16 +88,30 @@ def word_hashes(words: pa.Array) -> np.ndarray:
     return hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False)
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int):
-    """Cut a batch into row ranges of at most ``limit`` bytes of text (one row at least).
+def lots(batches, column: str, limit: int):
+    """Record batches of about ``limit`` bytes of ``column`` (one row at least), across the batches that come in.
 
-    Ranges are copied, since Arrow's string kernels misread sliced offsets.
+    Ranges are copied, since Arrow's string kernels misread sliced offsets, and memory that a
+    lot has freed goes back to the system before the next one.
     """
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    total = np.cumsum(sizes)
-    start = 0
-    while start < len(sizes):
-        done = total[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(total, done + limit, side="right")))
-        yield batch.take(pa.array(np.arange(start, end)))
-        start = end
+    held, size = [], 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        total, start = np.cumsum(sizes, dtype=np.int64), 0
+        while start < len(sizes):
+            done = total[start - 1] if start else 0
+            end = min(len(sizes), max(start + 1, int(np.searchsorted(total, done + limit - size, side="right"))))
+            if held and total[end - 1] - done + size > limit:
+                yield _joined(held)
+                pa.default_memory_pool().release_unused()
+                held, size = [], 0
+                continue
+            held.append(batch.take(pa.array(np.arange(start, end))))
+            size += int(total[end - 1] - done)
+            start = end
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return held[0] if len(held) == 1 else pa.concat_batches(held)

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fmix, pieces, query, table
+from millrace.llm.common import fmix, lots, query, table
 
 BLOCK_BYTES = 8 << 20
 UNKNOWN = "und"
@@ -144,10 +144,9 @@ def identify(docs: DataFrame, filters: Filters, key: str = "doc_id") -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches):
-        for batch in batches:
-            for part in pieces(batch, "text", BLOCK_BYTES):
-                names, score = _predict(shared.value, part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score)], [key, "lang_pred", "score"])
+        for part in lots(batches, "text", BLOCK_BYTES):
+            names, score = _predict(shared.value, part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score)], [key, "lang_pred", "score"])
 
     rows = docs.select(key, F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, lang_pred string, score double")
@@ -158,10 +157,9 @@ def reject(docs: DataFrame, filters: Filters) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches):
-        for batch in batches:
-            for part in pieces(batch, "text", BLOCK_BYTES):
-                names, _ = _predict(shared.value, part.column("text"))
-                yield part.filter(pa.array(names != UNKNOWN))
+        for part in lots(batches, "text", BLOCK_BYTES):
+            names, _ = _predict(shared.value, part.column("text"))
+            yield part.filter(pa.array(names != UNKNOWN))
 
     return docs.mapInArrow(run, docs.schema)
 

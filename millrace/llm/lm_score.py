@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fmix, pieces, query, split_words, stage, table, word_hashes
+from millrace.llm.common import fmix, lots, query, split_words, stage, table, word_hashes
 
 BLOCK_BYTES = 32 << 20
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
@@ -37,13 +37,12 @@ def gram_ids(codes: np.ndarray, place: np.ndarray, order: int):
 
 
 def _blocks(batches):
-    for batch in batches:
-        for part in pieces(batch, "text", BLOCK_BYTES):
-            offsets, codes, words = split_words(part.column("text"))
-            keys = part.column(0)
-            seal = hashlib.blake2b(repr(keys.to_pylist()).encode(), digest_size=8)
-            seal.update(offsets.tobytes() + codes.tobytes())
-            yield int.from_bytes(seal.digest(), "little", signed=True), keys, np.diff(offsets), codes, words
+    for part in lots(batches, "text", BLOCK_BYTES):
+        offsets, codes, words = split_words(part.column("text"))
+        keys = part.column(0)
+        seal = hashlib.blake2b(repr(keys.to_pylist()).encode(), digest_size=8)
+        seal.update(offsets.tobytes() + codes.tobytes())
+        yield int.from_bytes(seal.digest(), "little", signed=True), keys, np.diff(offsets), codes, words
 
 
 def gram_hashes(words: np.ndarray, codes: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fmix, pieces, query, split_words, stage, table, word_hashes
+from millrace.llm.common import fmix, lots, query, split_words, stage, table, word_hashes
 from millrace.operators.graph import connected_components
 
 BLOCK_BYTES = 8 << 20
@@ -47,16 +47,15 @@ def _scan(width: int, buckets: int, chunks: int):
 
     def run(batches):
         counts = np.zeros(buckets, np.uint32)
-        for batch in batches:
-            for part in pieces(batch, "text", BLOCK_BYTES):
-                sizes, prints = [], []
-                with np.errstate(over="ignore"):
-                    for grams in shingle_sets(part.column("text"), width):
-                        sizes.append(len(grams))
-                        prints.append(_fingerprint(grams))
-                        np.add.at(counts, grams & np.uint64(buckets - 1), 1)
-                none = pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary()), *none], schema=schema)
+        for part in lots(batches, "text", BLOCK_BYTES):
+            sizes, prints = [], []
+            with np.errstate(over="ignore"):
+                for grams in shingle_sets(part.column("text"), width):
+                    sizes.append(len(grams))
+                    prints.append(_fingerprint(grams))
+                    np.add.at(counts, grams & np.uint64(buckets - 1), 1)
+            none = pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary()), *none], schema=schema)
         packed = [zstandard.compress(c.tobytes(), 1) for c in counts.reshape(chunks, -1)]
         none = pa.nulls(chunks, pa.int64()), pa.nulls(chunks, pa.int32()), pa.nulls(chunks, pa.binary())
         yield pa.RecordBatch.from_arrays([*none, pa.array(range(chunks), pa.int32()), pa.array(packed, pa.binary())], schema=schema)
@@ -125,28 +124,27 @@ def _signatures(width: int, num: int, den: int, pivots: np.ndarray, ranks_of):
 
     def run(batches):
         ranks, seen = np.frombuffer(ranks_of.value, np.uint8), set()
-        for batch in batches:
-            for part in pieces(batch, "text", BLOCK_BYTES):
-                prints, sizes, cells, prefixes, homes = [], [], [], [], []
-                with np.errstate(over="ignore"):
-                    for grams in shingle_sets(part.column("text"), width):
-                        fp = _fingerprint(grams)
-                        if fp is None or fp in seen:
-                            continue
-                        seen.add(fp)
-                        n = len(grams)
-                        keys = order_keys(grams, ranks)
-                        order = np.lexsort((grams, keys))
-                        prints.append(fp)
-                        sizes.append(n)
-                        cells.append(np.bincount(np.searchsorted(pivots, keys, side="right"), minlength=len(pivots) + 1))
-                        homes.append(np.unique(np.searchsorted(steps, [(num * n + den - 1) // den, n], side="right")))
-                        prefixes.append(grams[order[: n - (num * n + den - 1) // den + 1]].view(np.int64))
-                if prints:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(prints, pa.binary()), pa.array(sizes, pa.int32()), _lists(cells, np.int32), _lists(prefixes, np.int64), _lists(homes, np.int32)],
-                        ["fp", "n", "cells", "prefix", "homes"],
-                    )
+        for part in lots(batches, "text", BLOCK_BYTES):
+            prints, sizes, cells, prefixes, homes = [], [], [], [], []
+            with np.errstate(over="ignore"):
+                for grams in shingle_sets(part.column("text"), width):
+                    fp = _fingerprint(grams)
+                    if fp is None or fp in seen:
+                        continue
+                    seen.add(fp)
+                    n = len(grams)
+                    keys = order_keys(grams, ranks)
+                    order = np.lexsort((grams, keys))
+                    prints.append(fp)
+                    sizes.append(n)
+                    cells.append(np.bincount(np.searchsorted(pivots, keys, side="right"), minlength=len(pivots) + 1))
+                    homes.append(np.unique(np.searchsorted(steps, [(num * n + den - 1) // den, n], side="right")))
+                    prefixes.append(grams[order[: n - (num * n + den - 1) // den + 1]].view(np.int64))
+            if prints:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(prints, pa.binary()), pa.array(sizes, pa.int32()), _lists(cells, np.int32), _lists(prefixes, np.int64), _lists(homes, np.int32)],
+                    ["fp", "n", "cells", "prefix", "homes"],
+                )
 
     return run
 
@@ -156,22 +154,21 @@ def _segments(width: int, pivots: np.ndarray, ranks_of):
 
     def run(batches):
         ranks, seen = np.frombuffer(ranks_of.value, np.uint8), set()
-        for batch in batches:
-            for part in pieces(batch, "text", BLOCK_BYTES):
-                prints, parts, rows = [], [], []
-                with np.errstate(over="ignore"):
-                    for grams in shingle_sets(part.column("text"), width):
-                        fp = _fingerprint(grams)
-                        if fp is None or fp in seen:
-                            continue
-                        seen.add(fp)
-                        cell = np.searchsorted(pivots, order_keys(grams, ranks), side="right")
-                        for f in np.unique(cell):
-                            prints.append(fp)
-                            parts.append(f)
-                            rows.append(grams[cell == f].view(np.int64))
-                if prints:
-                    yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(parts, pa.int32()), _lists(rows, np.int64)], ["fp", "fragment", "grams"])
+        for part in lots(batches, "text", BLOCK_BYTES):
+            prints, parts, rows = [], [], []
+            with np.errstate(over="ignore"):
+                for grams in shingle_sets(part.column("text"), width):
+                    fp = _fingerprint(grams)
+                    if fp is None or fp in seen:
+                        continue
+                    seen.add(fp)
+                    cell = np.searchsorted(pivots, order_keys(grams, ranks), side="right")
+                    for f in np.unique(cell):
+                        prints.append(fp)
+                        parts.append(f)
+                        rows.append(grams[cell == f].view(np.int64))
+            if prints:
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(parts, pa.int32()), _lists(rows, np.int64)], ["fp", "fragment", "grams"])
 
     return run
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fmix, pieces, query, shared_folder, table
+from millrace.llm.common import fmix, lots, query, shared_folder, table
 
 BLOCK_BYTES = 8 << 20
 HEADER = 2  # bytes before the ids: how many ids are real
@@ -51,28 +51,27 @@ def _sequences(bases, marks, size, key, ids, kind, shard_records):
     def run(batches):
         me = TaskContext.get().partitionId()
         place, seal = bases.get(me, 0), 0
-        for batch in batches:
-            for part in pieces(batch, "ids", BLOCK_BYTES):
-                keys, parts, lengths, records = [], [], [], []
-                for doc, raw in zip(part.column(0).to_pylist(), part.column("ids").to_pylist(), strict=True):
-                    raw = raw or b""
-                    seal = (seal + zlib.crc32(raw)) & 0xFFFFFFFF
-                    for n, i in enumerate(range(0, len(raw), ids)):
-                        piece = raw[i : i + ids]
-                        keys.append(doc)
-                        parts.append(n)
-                        lengths.append(len(piece))
-                        records.append(piece)
-                with np.errstate(over="ignore"):
-                    slots = feistel(np.arange(place, place + len(keys)), size, key)
-                place += len(keys)
-                made = pa.RecordBatch.from_arrays([pa.array(slots), pa.array(keys, kind), pa.array(parts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(records, pa.binary())], names=_RECORD)
-                shards = slots // shard_records
-                turn = np.argsort(shards, kind="stable")
-                cuts = np.flatnonzero(np.diff(shards[turn])) + 1
-                lots = np.split(turn, cuts) if len(turn) else []
-                packed = [_packed(made.take(pa.array(lot))) for lot in lots]
-                yield pa.RecordBatch.from_arrays([pa.array([int(shards[lot[0]]) for lot in lots], pa.int32()), pa.array(packed, pa.binary())], ["shard", "packed"])
+        for part in lots(batches, "ids", BLOCK_BYTES):
+            keys, parts, lengths, records = [], [], [], []
+            for doc, raw in zip(part.column(0).to_pylist(), part.column("ids").to_pylist(), strict=True):
+                raw = raw or b""
+                seal = (seal + zlib.crc32(raw)) & 0xFFFFFFFF
+                for n, i in enumerate(range(0, len(raw), ids)):
+                    piece = raw[i : i + ids]
+                    keys.append(doc)
+                    parts.append(n)
+                    lengths.append(len(piece))
+                    records.append(piece)
+            with np.errstate(over="ignore"):
+                slots = feistel(np.arange(place, place + len(keys)), size, key)
+            place += len(keys)
+            made = pa.RecordBatch.from_arrays([pa.array(slots), pa.array(keys, kind), pa.array(parts, pa.int32()), pa.array(lengths, pa.int32()), pa.array(records, pa.binary())], names=_RECORD)
+            shards = slots // shard_records
+            turn = np.argsort(shards, kind="stable")
+            cuts = np.flatnonzero(np.diff(shards[turn])) + 1
+            groups = np.split(turn, cuts) if len(turn) else []
+            packed = [_packed(made.take(pa.array(lot))) for lot in groups]
+            yield pa.RecordBatch.from_arrays([pa.array([int(shards[lot[0]]) for lot in groups], pa.int32()), pa.array(packed, pa.binary())], ["shard", "packed"])
         if seal != marks.get(me, 0):
             raise ValueError("a partition gave other documents than when they were counted")
 

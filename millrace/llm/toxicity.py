@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fmix, pieces, query, split_words, table, word_hashes
+from millrace.llm.common import fmix, lots, query, split_words, table, word_hashes
 from millrace.llm.langid import held_out, unit_of
 
 BLOCK_BYTES = 4 << 20
@@ -385,11 +385,10 @@ def score(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFram
 
     def run(batches):
         model = shared.value
-        for batch in batches:
-            for part in pieces(batch, "text", BLOCK_BYTES):
-                with np.errstate(over="ignore"):
-                    values = model.scores(part.column("text")) if model else np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values), pa.array((values >= THRESHOLD).astype(np.int32))], [key, "score", "predicted"])
+        for part in lots(batches, "text", BLOCK_BYTES):
+            with np.errstate(over="ignore"):
+                values = model.scores(part.column("text")) if model else np.zeros(part.num_rows)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values), pa.array((values >= THRESHOLD).astype(np.int32))], [key, "score", "predicted"])
 
     rows = docs.select(key, F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, score double, predicted int")
@@ -401,11 +400,10 @@ def reject(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches):
         model = shared.value
-        for batch in batches:
-            for part in pieces(batch, "text", BLOCK_BYTES):
-                with np.errstate(over="ignore"):
-                    values = model.scores(part.column("text")) if model else np.zeros(part.num_rows)
-                yield part.filter(pa.array(values < THRESHOLD))
+        for part in lots(batches, "text", BLOCK_BYTES):
+            with np.errstate(over="ignore"):
+                values = model.scores(part.column("text")) if model else np.zeros(part.num_rows)
+            yield part.filter(pa.array(values < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
 
