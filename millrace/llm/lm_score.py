@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import fmix, lots, query, split_words, stage, table, word_hashes
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 10 << 20
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
