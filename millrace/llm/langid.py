@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import fmix, lots, query, table
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20  # each byte costs about eight 8-byte numbers on the way
 UNKNOWN = "und"
 _SALTS = [np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
