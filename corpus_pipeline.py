@@ -29,9 +29,9 @@ def reject_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram Jaccard join."""
+    """One document of each component of the Jaccard join on shingles of five words, from 0.8 on."""
     small_batches(spark)
-    return keep_one(docs)
+    return keep_one(docs, width=5, num=80, den=100)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

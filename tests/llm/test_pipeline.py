@@ -1,5 +1,7 @@
 """Each stage against its restatement, on the small tables with planted cases."""
 
+import random
+
 import pytest
 import tiktoken
 from test_decontaminate import brute as leaks
@@ -42,6 +44,21 @@ def test_one_of_each_group(spark, docs):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
 
 
+def test_near_copies_with_some_words_edited_go(spark, docs):
+    rng, rows = random.Random(5), []
+    for base in range(6):
+        words = [f"w{rng.randrange(5000)}" for _ in range(100 if base < 3 else 300)]
+        for edits in (0, 1, 2, 3):
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), edits * len(copy) // 100):
+                copy[at] = f"x{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(copy), "en", "s", 0))
+    want = {low for _, _, low in groups([r[:2] for r in rows], 5, 80, 100)}
+    assert want < {low for _, _, low in groups([r[:2] for r in rows], 3, 90, 100)}
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, spark.createDataFrame(rows, docs.schema), FOLDER)
+    assert {r.doc_id for r in kept.collect()} == want
+
+
 def test_leaks_go(spark, docs):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     want = {r[0] for r in leaks([(r.doc_id, r.text) for r in docs.collect()], items) if not r[5]}
