@@ -52,3 +52,18 @@ def test_nothing_learned(spark):
     filters = langid.fit(none)
     assert [r.lang_pred for r in langid.identify(spark.createDataFrame([(1, "words")], "doc_id long, text string"), filters).collect()] == ["und"]
     assert langid.identify(none, filters).count() == 0
+
+
+def test_reject_follows_the_members(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    filters = langid.fit(docs)
+    strange = [(9001, "zzqxj wqpzk vvxxq"), (9002, "漢字のテキストです、長い文"), (9003, "ωραία μέρα σήμερα παιδιά " * 50), (9004, "12 34"), (9005, "a.")]
+    more = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame([(i, t, None) for i, t in strange], "doc_id long, text string, lang string"))
+    kept = {r.doc_id for r in langid.reject(more, filters).collect()}
+    assert len(filters.languages) == 4 and docs.select("lang").distinct().count() == 4
+    assert kept == {r.doc_id for r in docs.collect()} | {9005}
+
+
+def test_reject_keeps_texts_where_nothing_was_learned(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, None, None), (3, "12", None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in langid.reject(docs, langid.fit(docs)).collect()] == [1]
