@@ -118,7 +118,7 @@ def size_steps() -> np.ndarray:
 def _signatures(width: int, num: int, den: int, pivots: np.ndarray, ranks_of):
     """One row per distinct set of a task: size, n-grams per fragment, and the prefix in global order.
 
-    ``homes`` are the size classes of the set: its own, and the one of the smallest set it may link with.
+    ``homes`` are the size classes of the set, from that of the smallest set it may link with to its own.
     """
     steps = size_steps()
 
@@ -138,7 +138,8 @@ def _signatures(width: int, num: int, den: int, pivots: np.ndarray, ranks_of):
                     prints.append(fp)
                     sizes.append(n)
                     cells.append(np.bincount(np.searchsorted(pivots, keys, side="right"), minlength=len(pivots) + 1))
-                    homes.append(np.unique(np.searchsorted(steps, [(num * n + den - 1) // den, n], side="right")))
+                    low, own = np.searchsorted(steps, [(num * n + den - 1) // den, n], side="right")
+                    homes.append(np.arange(low, own + 1))
                     prefixes.append(grams[order[: n - (num * n + den - 1) // den + 1]].view(np.int64))
             if prints:
                 yield pa.RecordBatch.from_arrays(

@@ -67,6 +67,14 @@ def test_other_threshold_and_width(spark):
     assert got == brute(rows, 5, 80, 100)
 
 
+@pytest.mark.parametrize(("num", "sizes"), [(60, (20, 30)), (50, (30, 50))])
+def test_low_threshold(spark, num, sizes):
+    rows = [(i, " ".join(f"w{k}" for k in range(n))) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_components(df, width=1, num=num).collect())
+    assert got == brute(rows, 1, num, 100) == [(0, sizes[0], 0), (1, sizes[1], 0)]
+
+
 def test_missing_and_repeated_ids(spark):
     rows = [(None, "a b c d"), (4, "a b c d"), (2, "a b c d"), (2, "a b c d"), (7, "e f g h")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
