@@ -1,6 +1,6 @@
 """All queries of this folder; importing it fills the registry."""
 
-from millrace.llm import bpe, bpe_pairs, collocations, decontaminate, langid, lm_score, ngram_join, order, pivots, sharding, template, toxicity  # noqa: F401
+from millrace.llm import bpe, bpe_pairs, collocations, decontaminate, dialogue, langid, lm_score, ngram_join, order, pivots, sharding, template, toxicity  # noqa: F401
 from millrace.llm.common import REGISTRY
 
 
