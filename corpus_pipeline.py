@@ -43,7 +43,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document with the digests of the ids and of the decoded bytes."""
     small_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN), path, keep_ids=True)
+    return bpe.encode_digests(docs, path, public_tokenizers.PATTERN, keep_ids=True)
 
 
 STAGES = [

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from millrace.llm.common import lots, query, table
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 
 
 def token_table(path: str) -> dict[bytes, int]:
@@ -93,12 +93,14 @@ def _blocks(batches, pattern: str):
         index, codes, counts, seal = _Index(), [], [], hashlib.blake2b(digest_size=8)
         seal.update(repr(part.column(0).to_pylist()).encode())
         place = index.__getitem__
-        for text in part.column("text").to_pylist():
+        for text in map(pa.Scalar.as_py, part.column("text")):
             found = split(text or "")
             counts.append(len(found))
             codes.append(np.fromiter(map(place, found), np.uint32, len(found)))
             seal.update((text or "").encode())
-        yield int.from_bytes(seal.digest(), "little", signed=True), part.column(0), counts, np.concatenate(codes), index
+        codes = np.concatenate(codes)
+        yield int.from_bytes(seal.digest(), "little", signed=True), part.column(0), counts, codes, index
+        del part, index, codes, place
 
 
 def _words(pattern: str):
@@ -186,26 +188,64 @@ def _gather(starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndar
     return np.repeat(starts[codes] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _reassemble(words: pa.Table, layout: pa.Table) -> pa.Table:
-    schema = pa.schema([("key", layout.schema.field("keys").type.value_type), ("ids", pa.list_(pa.int32()))])
-    if layout.num_rows == 0:
-        raise ValueError("the texts changed between two scans")
-    parts = [_unpack(p, n, n, m) for n, m, p in zip(*(words.column(c).to_pylist() for c in ("n", "m", "packed")), strict=True)]
-    place, sizes, flat = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int32)]) for i in range(3))
-    starts = np.cumsum(sizes, dtype=np.int64) - sizes
-    _, order = np.unique(place, return_index=True)  # equal blocks of repeated rows share their words
-    starts, sizes = starts[order], sizes[order]
-    out = []
-    for keys, counts, packed in zip(*(layout.column(c).to_pylist() for c in ("keys", "counts", "codes")), strict=True):
-        (codes,) = _unpack(packed, sum(counts))
-        per_word = np.concatenate([[0], np.cumsum(sizes[codes], dtype=np.int64)])
-        ends = per_word[np.concatenate([[0], np.cumsum(counts)])]
-        ids = np.empty(per_word[-1], np.int32)
-        for i in range(0, len(codes), 500_000):  # bounds the gathered indices
-            some = codes[i : i + 500_000]
-            ids[per_word[i] : per_word[i + len(some)]] = flat[_gather(starts, sizes, some)]
-        out.append(pa.Table.from_arrays([pa.array(keys, schema.field(0).type), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))], schema=schema))
-    return pa.concat_tables(out)
+def _reassemble(lookup, ids_too: bool, sums_too: bool, slice_words: int = 500_000):
+    """Blocks back to texts, a bounded slice of words at a time; digests are made here, so that ids need not travel for them."""
+
+    def run(words: pa.Table, layout: pa.Table) -> pa.Table:
+        if layout.num_rows == 0:
+            raise ValueError("the texts changed between two scans")
+        parts = [_unpack(p, n, n, m) for n, m, p in zip(*(words.column(c).to_pylist() for c in ("n", "m", "packed")), strict=True)]
+        place, sizes, flat = (np.concatenate([p[i] for p in parts] or [np.zeros(0, np.int32)]) for i in range(3))
+        del parts
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        _, order = np.unique(place, return_index=True)  # equal blocks of repeated rows share their words
+        starts, sizes = starts[order], sizes[order]
+        kind, made = layout.schema.field("keys").type.value_type, []
+        for keys, counts, packed in zip(*(layout.column(c).to_pylist() for c in ("keys", "counts", "codes")), strict=True):
+            (codes,) = _unpack(packed, sum(counts))
+            ends = np.cumsum([0, *counts])
+            first = 0
+            while first < len(counts):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + slice_words, side="right")) - 1)
+                some = codes[ends[first] : ends[last]]
+                ids = _gathered(flat, starts, sizes, some, slice_words)
+                cuts = np.append(0, np.cumsum(sizes[some], dtype=np.int64))[ends[first : last + 1] - ends[first]]
+                made.append(_row_columns(pa.array(keys[first:last], kind), ids, cuts, lookup, ids_too, sums_too))
+                first = last
+        return pa.Table.from_batches(made) if made else pa.Table.from_batches([_row_columns(pa.array([], kind), np.zeros(0, np.int32), np.zeros(1, np.int64), lookup, ids_too, sums_too)])
+
+    return run
+
+
+def _gathered(flat, starts, sizes, codes, step: int) -> np.ndarray:
+    """The ids of the words in order; one very long text is gathered in pieces as well."""
+    pieces = [flat[_gather(starts, sizes, codes[i : i + step])] for i in range(0, len(codes), step)]
+    return np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+
+
+def _row_columns(keys, ids: np.ndarray, cuts: np.ndarray, lookup, ids_too: bool, sums_too: bool) -> pa.RecordBatch:
+    columns = {"key": keys}
+    if sums_too:
+        rows = [ids[i:j] for i, j in pairwise(cuts.tolist())]
+        columns["n_tokens"] = pa.array(np.diff(cuts), pa.int64())
+        columns["ids_sha256"] = pa.array([hashlib.sha256(r.astype("<u4").tobytes()).hexdigest() for r in rows], pa.string())
+        columns["decoded_sha256"] = pa.array([hashlib.sha256(_decoded(r, lookup.value)).hexdigest() for r in rows], pa.string())
+    if ids_too:
+        columns["ids"] = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids))
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _encoded(docs: DataFrame, path: str, pattern: str, key: str, ids_too: bool, sums_too: bool) -> DataFrame:
+    spark = docs.sparkSession
+    ranks, lookup = spark.sparkContext.broadcast(token_table(path)), spark.sparkContext.broadcast(_token_bytes(path))
+    kind = dict(docs.dtypes)[key]
+    rows = docs.select(key, docs["text"].cast("string").alias("text"))
+    words = rows.mapInArrow(_words(pattern), "block long, place int, word string").repartition("word").sortWithinPartitions("word")
+    coded = words.mapInArrow(_encode_sorted(ranks), "block long, n int, m int, packed binary")
+    layouts = rows.mapInArrow(_layouts(pattern), f"block long, keys array<{kind}>, counts array<int>, codes binary")
+    schema = f"key {kind}" + ", n_tokens long, ids_sha256 string, decoded_sha256 string" * sums_too + ", ids array<int>" * ids_too
+    joined = coded.groupBy("block").cogroup(layouts.groupBy("block")).applyInArrow(_reassemble(lookup, ids_too, sums_too), schema)
+    return joined.withColumnRenamed("key", key)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
@@ -217,18 +257,19 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> Dat
     order. A word can repeat only once a block, so common words are no hot keys. Positions
     travel as numbers, texts never do.
 
+    ``docs`` is read twice and must give the same rows in the same batches both times, as a scan does; else it raises.
     Defined cases: a null or empty text has no ids; a null or repeated key is
     carried along, as rows are never joined by it; other columns are ignored.
     """
-    spark = docs.sparkSession
-    ranks = spark.sparkContext.broadcast(token_table(path))
-    kind = dict(docs.dtypes)[key]
-    rows = docs.select(key, docs["text"].cast("string").alias("text"))
-    words = rows.mapInArrow(_words(pattern), "block long, place int, word string").repartition("word").sortWithinPartitions("word")
-    coded = words.mapInArrow(_encode_sorted(ranks), "block long, n int, m int, packed binary")
-    layouts = rows.mapInArrow(_layouts(pattern), f"block long, keys array<{kind}>, counts array<int>, codes binary")
-    joined = coded.groupBy("block").cogroup(layouts.groupBy("block")).applyInArrow(_reassemble, f"key {kind}, ids array<int>")
-    return joined.withColumnRenamed("key", key)
+    return _encoded(docs, path, pattern, key, True, False)
+
+
+def encode_digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", keep_ids: bool = False) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256), and the ids if asked for, of :func:`encode` and :func:`decode`.
+
+    Ids are decoded and digested in the task that puts them in order.
+    """
+    return _encoded(docs, path, pattern, key, keep_ids, True)
 
 
 def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -270,27 +311,9 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return encoded.select(key, "ids").mapInArrow(run, f"{key} {dict(encoded.dtypes)[key]}, decoded binary")
 
 
-def digests(encoded: DataFrame, path: str, key: str = "doc_id", keep_ids: bool = False) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256), and the ids if asked for; decoding as in :func:`decode`."""
-    lookup = encoded.sparkSession.sparkContext.broadcast(_token_bytes(path))
-
-    def run(batches):
-        for batch in batches:
-            ids = _whole(batch.column("ids"))
-            own, back = [], []
-            for row in _rows_of(ids):
-                own.append(hashlib.sha256(row.astype("<u4").tobytes()).hexdigest())
-                back.append(hashlib.sha256(_decoded(row, lookup.value)).hexdigest())
-            columns = [batch.column(0), pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()), pa.array(own), pa.array(back)] + [ids] * keep_ids
-            yield pa.RecordBatch.from_arrays(columns, [key, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
-
-    schema = f"{key} {dict(encoded.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded.select(key, "ids").mapInArrow(run, schema + ", ids array<int>" * keep_ids)
-
-
 @query("op5_bpe")
 def op5(spark, folder):
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return digests(encode(table(spark, folder, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN), path)
+    return encode_digests(table(spark, folder, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)

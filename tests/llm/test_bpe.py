@@ -41,7 +41,7 @@ def test_tables_round_trip(spark, monkeypatch):
 
 def test_digests(spark):
     docs = spark.createDataFrame([(1, TEXTS[4]), (2, None)], "doc_id long, text string")
-    got = {r.doc_id: r for r in bpe.digests(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).collect()}
+    got = {r.doc_id: r for r in bpe.encode_digests(docs, PATH, public_tokenizers.PATTERN).collect()}
     ids = LIBRARY.encode_ordinary(TEXTS[4])
     assert got[1].n_tokens == len(ids)
     assert got[1].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
@@ -49,9 +49,19 @@ def test_digests(spark):
     assert got[2].decoded_sha256 == got[2].ids_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_slices_of_blocks(spark, monkeypatch):
+    whole = bpe._reassemble
+    monkeypatch.setattr(bpe, "_reassemble", lambda *a: whole(*a, slice_words=7))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    for r in bpe.encode_digests(docs, PATH, public_tokenizers.PATTERN, keep_ids=True).collect():
+        ids = LIBRARY.encode_ordinary(TEXTS[r.doc_id])
+        assert r.ids == ids and r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(TEXTS[r.doc_id].encode()).hexdigest()
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert bpe.digests(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH).count() == 0
+    assert bpe.encode_digests(docs, PATH, public_tokenizers.PATTERN).count() == 0
 
 
 def test_query_equals_the_library(spark):
