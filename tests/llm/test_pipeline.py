@@ -39,7 +39,7 @@ def test_language_keeps_all_with_letters(spark, docs):
 
 def test_one_of_each_group(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    want = {low for _, _, low in groups(rows, 3, 90, 100)}
+    want = {low for _, _, low in groups(rows, 5, 80, 100)}
     kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, FOLDER)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
 
