@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from millrace.session import build_session  # noqa: E402
 
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():
