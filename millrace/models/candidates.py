@@ -109,7 +109,7 @@ def _knn(k: int, p: int, weights: str, combine) -> Fit:
 
         def transform(rows: DataFrame) -> DataFrame:
             found = nearest_neighbours(as_points(rows, ROW_ID, "features"), refs, k, p)
-            return left_join_unique(rows, combine(found, weights).withColumnRenamed("id", ROW_ID), ROW_ID, check=False)
+            return left_join_unique(rows, combine(found, weights).drop("row").withColumnRenamed("id", ROW_ID), ROW_ID, check=False)
 
         return transform
 

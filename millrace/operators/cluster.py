@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 from millrace.operators.density import NOISE
 from millrace.operators.join import left_join_unique
 from millrace.operators.moments import class_moments
-from millrace.operators.nearest import BLOCK_ROWS, _CHUNK, _matrix, _metric, plan_layout, run_blocks
+from millrace.operators.nearest import BLOCK_ROWS, CHUNK, all_block_pairs, numbered
+from millrace.operators.tree import distances, matrix
 from millrace.session import col
 
+_SUMS = pa.schema([("row", pa.int64()), ("own", pa.float64()), ("c", pa.float64()), ("s", pa.float64())])
+
 # Risk bands of a cluster against the global rate.
 RISK_HIGH, RISK_LOW, RISK_MEDIUM = "riesgo_operativo_alto", "riesgo_operativo_bajo", "riesgo_operativo_medio"
 
@@ -38,29 +42,30 @@ def silhouette_euclidean(points: DataFrame, block_rows: int = BLOCK_ROWS) -> flo
     one distance sum per (point, cluster); the work is quadratic by nature, so
     ``silhouette_squared`` is the choice for large tables.
     """
-    points = points.where(F.col("p") != NOISE)
-    sizes = {r["p"]: r["n"] for r in points.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 2:
+    points = numbered(points.where(F.col("p") != NOISE), "silhouette-points")
+    sizes = points.groupBy(F.col("p").alias("c")).agg(F.count(F.lit(1)).cast("double").alias("size"))
+    if len(sizes.limit(2).collect()) < 2:
         return None
-    layout = plan_layout(points, points, block_rows=block_rows)
 
-    def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        b, label = _matrix(right), right["p"].to_numpy()
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        b, label, rows = matrix(right.column("x")), right.column("p").to_numpy(), right.column("row").to_numpy()
+        names, which = np.unique(label, return_inverse=True)
+        a_all, own, mine = matrix(left.column("x")), left.column("p").to_numpy(), left.column("row").to_numpy()
         parts = []
-        for start in range(0, len(left), _CHUNK):
-            part = left.iloc[start : start + _CHUNK]
-            gap = _metric(_matrix(part), b, 2)
-            gap[part["id"].to_numpy()[:, None] == right["id"].to_numpy()[None, :]] = 0.0
-            for c in np.unique(label):
-                parts.append(pd.DataFrame({"id": part["id"].to_numpy(), "own": part["p"].to_numpy(), "c": c, "s": gap[:, label == c].sum(1)}))
-        return pd.concat(parts)
-
-    sums = run_blocks(points, points, layout, kernel, "id bigint, own double, c double, s double")
-    sums = sums.groupBy("id", "own", "c").agg(F.sum("s").alias("s"))
-    size = F.element_at(F.create_map(*[F.lit(float(v)) for kv in sizes.items() for v in kv]), F.col("c"))
+        for start in range(0, len(a_all), CHUNK):
+            at = slice(start, start + CHUNK)
+            gap = np.sqrt(distances(a_all[at], b))
+            gap[mine[at][:, None] == rows[None, :]] = 0.0
+            for c, name in enumerate(names):
+                n = len(gap)
+                parts.append([mine[at], own[at], np.full(n, name), gap[:, which == c].sum(1)])
+        return pa.table([pa.array(np.concatenate([part[i] for part in parts]), f.type) for i, f in enumerate(_SUMS)], schema=_SUMS)
+
+    sums = all_block_pairs(points, points, kernel, _SUMS, block_rows).groupBy("row", "own", "c").agg(F.sum("s").alias("s")).join(sizes, "c")
+    size = F.col("size")
     mine = F.col("own") == F.col("c")
     return _mean_silhouette(
-        sums.groupBy("id").agg(
+        sums.groupBy("row").agg(
             F.max(F.when(mine, F.try_divide(F.col("s"), size - 1))).alias("a"),
             F.min(F.when(~mine, F.col("s") / size)).alias("b"),
         )

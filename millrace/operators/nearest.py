@@ -1,177 +1,107 @@
-"""Exact neighbour search without a cross join.
+"""Exact neighbour search without a cross join, on a metric tree.
 
-Points are laid out around a few pivots. For every query cell a safe reach is
-known (from cell counts and radii for k neighbours, or the given radius), so a
-reference point travels only to the cells it can matter to (triangle
-inequality). A cell is cut into blocks of bounded size on both sides, however
-many points it holds; a block pair is handled by matrix kernels in one task
+Equal points are merged to places first, so a point that repeats is no crowd. Every query falls to one leaf, whose
+points bound the distance of its k-th neighbour; it then visits the other leaves that reach within this bound. A
+leaf is cut into blocks of bounded size on both sides; a block pair is handled by matrix kernels in one task
 and hands back at most a few rows per point, never its pairs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import col
+from millrace.operators.tree import FANOUT, LEAF_ROWS, MetricTree, ddl, distances, grow_tree, matrix
+from millrace.session import col, stage
 
 BLOCK_ROWS = 4_096
-ROWS_PER_PIVOT = 2_000
-MAX_PIVOTS = 256
-_CHUNK = 512
+CHUNK = 512
 
 
 def as_points(df: DataFrame, key: str, features: str, payload: str | None = None) -> DataFrame:
-    """Columns id (bigint), x (array<double>), p (double payload)."""
+    """Columns id (bigint), x (array<double>), p (double payload). Rows may share an id; each is a point of its own."""
     kind = df.schema[features].dataType
     x = col(features).cast("array<double>") if isinstance(kind, T.ArrayType) else vector_to_array(col(features))
     p = col(payload).cast("double") if payload else F.lit(0.0)
     return df.select(col(key).cast("bigint").alias("id"), x.alias("x"), p.alias("p"))
 
 
-def distances(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
-    """Distance matrix; exact differences for p = 1, Gram form for p = 2 (squared)."""
-    if p == 1:
-        out = np.empty((len(a), len(b)))
-        for i in range(0, len(a), 16):
-            out[i : i + 16] = np.abs(a[i : i + 16, None, :] - b[None, :, :]).sum(-1)
-        return out
-    return np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2.0 * a @ b.T, 0.0)
+def numbered(points: DataFrame, name: str) -> DataFrame:
+    """Points with a number of their own (``row``), written so that the number stays. Points without coordinates are left out."""
+    return stage(points.where(F.col("x").isNotNull()).withColumn("row", F.monotonically_increasing_id()), name)
 
 
-def _metric(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    return distances(a, b, p) if p == 1 else np.sqrt(distances(a, b, 2))
+def known_points(refs: DataFrame, need: int, p: int = 2, leaf_rows: int = LEAF_ROWS, fanout: int = FANOUT) -> MetricTree:
+    """Tree over the places of numbered points; a place lists its first ``need`` points by (id, row): ids, rows, payloads."""
+    first = Window.partitionBy("x").orderBy("id", "row")
+    few = refs.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= need)
+    listed = few.groupBy("x").agg(F.sort_array(F.collect_list(F.struct("id", "row", "p"))).alias("held"))
+    places = listed.select("x", F.col("held.id").alias("ids"), F.col("held.row").alias("rows"), F.col("held.p").alias("ps"))
+    return grow_tree(places.withColumn("place", F.monotonically_increasing_id()), p, leaf_rows, fanout)
 
 
-@dataclass
-class Layout:
-    pivots: np.ndarray
-    radius: np.ndarray  # largest distance of a query to the pivot of its cell
-    reach: np.ndarray  # how far beyond the query a reference may lie and still matter
-    query_parts: np.ndarray
-    ref_parts: np.ndarray
-    p: int
+_FOUND = pa.schema([("q", pa.int64()), ("ref_id", pa.int64()), ("ref_row", pa.int64()), ("distance", pa.float64()), ("payload", pa.float64())])
 
 
-def _cell_stats(points: DataFrame, pivots: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and radius per cell; each partition hands over one row per cell."""
-    m = len(pivots)
+def _closest(need: int, p: int):
+    """The first ``need`` points by (distance, id, row) that a block of places holds for each point of a block."""
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count, far = np.zeros(m), np.zeros(m)
-        for batch in batches:
-            if batch.empty:
-                continue
-            d = _metric(np.stack(batch["x"].to_numpy()), pivots, p)
-            cell, near = d.argmin(1), d.min(1)
-            np.add.at(count, cell, 1)
-            np.maximum.at(far, cell, near)
-        yield pd.DataFrame({"cell": range(m), "n": count, "far": far})
-
-    rows = points.select("x").mapInPandas(measure, "cell int, n double, far double")
-    count, far = np.zeros(m), np.zeros(m)
-    for r in rows.groupBy("cell").agg(F.sum("n").alias("n"), F.max("far").alias("far")).collect():
-        count[r["cell"]], far[r["cell"]] = r["n"], r["far"]
-    return count, far
-
-
-def plan_layout(
-    queries: DataFrame,
-    refs: DataFrame,
-    k: int | None = None,
-    radius: float | None = None,
-    p: int = 2,
-    pivots: int | None = None,
-    block_rows: int = BLOCK_ROWS,
-) -> Layout:
-    """Choose pivots and the safe reach per query cell, for k neighbours, a radius, or everything."""
-    if pivots is None:
-        pivots = min(MAX_PIVOTS, max(1, refs.count() // ROWS_PER_PIVOT))
-    if k is None and radius is None:
-        pivots = 1
-    chosen = refs.orderBy(F.xxhash64("id"), "id").limit(pivots).select("x").collect()
-    if not chosen:
-        raise ValueError("no reference points")
-    centre = np.array([r["x"] for r in chosen], float)
-    q_count, q_far = _cell_stats(queries, centre, p)
-    r_count, r_far = _cell_stats(refs, centre, p)
-    m = len(centre)
-    between = _metric(centre, centre, p)
-    reach = np.full(m, np.inf)
-    if radius is not None:
-        reach[:] = radius
-    elif k is not None:
-        for i in range(m):
-            # Every point of cell j lies within radius_i + |p_i p_j| + far_j of every query of cell i.
-            worst = between[i] + r_far
-            order = np.argsort(worst)
-            enough = np.searchsorted(np.cumsum(r_count[order]), min(k, r_count.sum()))
-            reach[i] = q_far[i] + worst[order[min(enough, m - 1)]]
-    reach = reach * (1 + 1e-9) + 1e-9
-    reach[q_count == 0] = -np.inf
-    ref_parts = np.ones(m, int)
-    for i in range(m):
-        candidates = r_count[between[i] - r_far <= q_far[i] + reach[i]].sum()
-        ref_parts[i] = max(1, math.ceil(candidates / block_rows))
-    query_parts = np.maximum(1, np.ceil(q_count / block_rows)).astype(int)
-    return Layout(centre, q_far, reach, query_parts, ref_parts, p)
-
-
-_KEYED = "cell int, q_part int, r_part int, id bigint, x array<double>, p double"
-
-
-def _spread(layout: Layout, side: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            d = _metric(np.stack(batch["x"].to_numpy()), layout.pivots, layout.p)
-            if side == "query":
-                row, cell = np.arange(len(batch)), d.argmin(1)
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        a_all, b, q_all = matrix(left.column("x")), matrix(right.column("x")), left.column("q").to_numpy()
+        lists = [right.column(c).combine_chunks() for c in ("ids", "rows", "ps")]
+        starts = lists[0].offsets.to_numpy().astype(np.int64)
+        starts, (ids, rows, pays) = starts - starts[0], (c.flatten().to_numpy(zero_copy_only=False) for c in lists)
+        out = []
+        for start in range(0, len(a_all), CHUNK):
+            a, q = a_all[start : start + CHUNK], q_all[start : start + CHUNK]
+            rough = distances(a, b, p)
+            if len(b) > need:
+                limit = np.partition(rough, need - 1, axis=1)[:, need - 1]
+                # the Gram form errs in proportion to the squared lengths of both points
+                slack = 1e-9 * (1.0 + np.abs(limit) + (a**2).sum(1) + (b**2).sum(1).max())
+                i, j = np.nonzero(rough <= (limit + slack)[:, None])
             else:
-                row, cell = np.nonzero(d <= (layout.radius + layout.reach)[None, :])
-            own, other = (layout.query_parts, layout.ref_parts) if side == "query" else (layout.ref_parts, layout.query_parts)
-            mine = batch["h"].to_numpy()[row] % own[cell]
-            copies = other[cell]
-            pick = np.repeat(np.arange(len(row)), copies)
-            part = np.arange(len(pick)) - np.repeat(np.cumsum(copies) - copies, copies)
-            rows = batch.iloc[row[pick]]
-            q_part, r_part = (mine[pick], part) if side == "query" else (part, mine[pick])
-            yield pd.DataFrame(
-                {"cell": cell[pick], "q_part": q_part, "r_part": r_part, "id": rows["id"].to_numpy(),
-                 "x": rows["x"].to_numpy(), "p": rows["p"].to_numpy()}
-            )
-
-    return spread
-
-
-def run_blocks(queries: DataFrame, refs: DataFrame, layout: Layout, kernel, schema: str) -> DataFrame:
-    """Apply ``kernel(queries, refs) -> DataFrame`` to every block pair that can interact."""
-    keys = ["cell", "q_part", "r_part"]
-
-    def keyed(points, side):
-        hashed = points.withColumn("h", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(2**31 - 1)))
-        return hashed.mapInPandas(_spread(layout, side), _KEYED).groupBy(*keys)
-
-    def apply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-        return kernel(left, right)
-
-    return keyed(queries, "query").cogroup(keyed(refs, "ref")).applyInPandas(apply, schema)
-
-
-def _matrix(frame: pd.DataFrame) -> np.ndarray:
-    return np.stack(frame["x"].to_numpy())
+                i, j = np.nonzero(np.ones(rough.shape, bool))
+            gap = a[i] - b[j]
+            exact = np.abs(gap).sum(1) if p == 1 else np.sqrt((gap**2).sum(1))
+            size = starts[j + 1] - starts[j]
+            each = np.repeat(np.arange(len(j)), size)
+            at = np.repeat(starts[j] - (np.cumsum(size) - size), size) + np.arange(len(each))
+            order = np.lexsort((rows[at], ids[at], exact[each], i[each]))
+            i, at, exact = i[each][order], at[order], exact[each][order]
+            nth = np.arange(len(i)) - np.searchsorted(i, i)
+            kept = nth < need
+            i, at, exact = i[kept], at[kept], exact[kept]
+            out.append([q[i], ids[at], rows[at], exact, pays[at]])
+        return pa.table([pa.array(np.concatenate([o[c] for o in out]), f.type) for c, f in enumerate(_FOUND)], schema=_FOUND)
+
+    return kernel
+
+
+def closest_points(asked: DataFrame, tree: MetricTree, need: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The first ``need`` known points of each ``asked`` (q, x): (q, ref_id, ref_row, distance, payload), by distance, id, row."""
+    kernel, order = _closest(need, tree.p), Window.partitionBy("q").orderBy("distance", "ref_id", "ref_row")
+
+    def first(found: DataFrame) -> DataFrame:
+        return found.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= need).drop("nth")
+
+    fallen = tree.own_leaf(asked, need)
+    if not tree.parted:
+        return first(tree.join(fallen.drop("bound"), tree.rows, kernel, _FOUND, block_rows))
+    fallen = stage(fallen, "nearest-asked")
+    own = stage(first(tree.join(fallen.select("q", "x", "node"), tree.rows, kernel, _FOUND, block_rows)), "nearest-own")
+    kth = own.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
+    reach = F.least("bound", F.when(F.col("n") >= need, F.col("far")).otherwise(F.lit(math.inf)))
+    walkers = fallen.join(kth, "q", "left").select("q", "x", F.col("node").alias("own"), reach.alias("r"))
+    beyond = stage(tree.within(walkers).where("node <> own").select("q", "x", "node"), "nearest-walk")
+    return first(own.unionByName(tree.join(beyond, tree.rows, kernel, _FOUND, block_rows)))
 
 
 def nearest_neighbours(
@@ -180,41 +110,49 @@ def nearest_neighbours(
     k: int,
     p: int = 2,
     exclude_self: bool = False,
-    pivots: int | None = None,
+    leaf_rows: int = LEAF_ROWS,
+    fanout: int = FANOUT,
     block_rows: int = BLOCK_ROWS,
+    tree: MetricTree | None = None,
 ) -> DataFrame:
-    """The k nearest references of each query (ties by id): id, ref_id, distance, payload, position.
+    """The k nearest references of each query row: id, row, ref_id, distance, payload, position.
 
-    Both inputs come from ``as_points``.
+    Both inputs come from ``as_points``. ``row`` numbers the query rows, so rows that share an id stay apart. Ties go
+    to the smaller reference id, then to the one that comes first. ``exclude_self`` leaves out the row itself where both
+    inputs are the same table, other rows of its id not; between two tables it leaves out the query's id. ``tree``
+    is one that ``known_points`` grew for ``refs`` earlier, with lists long enough for ``k``. Points without coordinates take no part.
     """
-    layout = plan_layout(queries, refs, k=k + int(exclude_self), p=p, pivots=pivots, block_rows=block_rows)
-
-    def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        b, b_ids, b_pay = _matrix(right), right["id"].to_numpy(), right["p"].to_numpy()
-        parts = []
-        for start in range(0, len(left), _CHUNK):
-            part = left.iloc[start : start + _CHUNK]
-            a, a_ids = _matrix(part), part["id"].to_numpy()
-            rough = distances(a, b, p)
-            if exclude_self:
-                rough[a_ids[:, None] == b_ids[None, :]] = np.inf
-            if len(b_ids) > k:
-                limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
-                slack = 1e-9 * (1.0 + np.abs(limit) + (a**2).sum(1))
-                i, j = np.nonzero(rough <= (limit + slack)[:, None])
-            else:
-                i, j = np.nonzero(np.isfinite(rough))
-            gap = a[i] - b[j]
-            exact = np.abs(gap).sum(1) if p == 1 else np.sqrt((gap**2).sum(1))
-            found = pd.DataFrame({"id": a_ids[i], "ref_id": b_ids[j], "distance": exact, "payload": b_pay[j]})
-            found = found[np.isfinite(rough[i, j])]
-            found = found.sort_values(["id", "distance", "ref_id"])
-            parts.append(found[found.groupby("id").cumcount() < k])
-        return pd.concat(parts)
-
-    best = run_blocks(queries, refs, layout, kernel, "id bigint, ref_id bigint, distance double, payload double")
-    order = Window.partitionBy("id").orderBy("distance", "ref_id")
-    return best.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
+    need = k + int(exclude_self)
+    asked_rows = numbered(queries, "nearest-queries")
+    same = queries is refs
+    if exclude_self and not same:
+        copies = refs.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+        need = k + copies  # so many rows may share the query's id
+    if tree is None:
+        tree = known_points(asked_rows if same else numbered(refs, "nearest-refs"), need, p, leaf_rows, fanout)
+    asked = stage(asked_rows.select("x").distinct().withColumn("q", F.monotonically_increasing_id()), "nearest-places")
+    found = closest_points(asked, tree, need, block_rows)
+    rows = asked_rows.join(asked, "x").select("id", "row", "q").join(found, "q")
+    if exclude_self:
+        rows = rows.where(F.col("ref_row") != F.col("row") if same else F.col("ref_id") != F.col("id"))
+    order = Window.partitionBy("row").orderBy("distance", "ref_id", "ref_row")
+    ranked = rows.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
+    return ranked.select("id", "row", "ref_id", "distance", "payload", "position")
+
+
+def all_block_pairs(queries: DataFrame, refs: DataFrame, kernel, schema: pa.Schema, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``kernel(queries, refs)`` for all pairs of blocks of two numbered tables: for results that need every pair by definition."""
+    q_parts, r_parts = (max(1, math.ceil(t.count() / block_rows)) for t in (queries, refs))
+
+    def cut(rows, own, mine, other, theirs):
+        rows = rows.withColumn(mine, F.pmod(F.xxhash64("row", F.lit(7)), F.lit(own)).cast("int"))
+        return rows.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.lit(other - 1)))).groupBy("q_part", "r_part")
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        return kernel(a, b) if a.num_rows and b.num_rows else schema.empty_table()
+
+    left, right = cut(queries, q_parts, "q_part", r_parts, "r_part"), cut(refs, r_parts, "r_part", q_parts, "q_part")
+    return left.cogroup(right).applyInArrow(run, ddl(schema))
 
 
 def approximate_neighbours(
@@ -230,21 +168,24 @@ def approximate_neighbours(
     return flat.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
 
 
+def _per_query(neighbours: DataFrame) -> list[str]:
+    return [c for c in ("id", "row") if c in neighbours.columns]
+
+
 def vote(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:
-    """Majority class (smallest on a tie) and the share of class 1 per query."""
-    w = _vote_weight(weights)
-    per = neighbours.groupBy("id", "payload").agg(F.sum(w).alias("w"))
-    total = per.groupBy("id").agg(
+    """Majority class (smallest on a tie) and the share of class 1 per query row."""
+    w, keys = _vote_weight(weights), _per_query(neighbours)
+    per = neighbours.groupBy(*keys, "payload").agg(F.sum(w).alias("w"))
+    return per.groupBy(*keys).agg(
         F.min(F.struct((-F.col("w")).alias("w"), F.col("payload").alias("v")))["v"].alias("prediction"),
         F.try_divide(F.sum(F.when(F.col("payload") == 1, F.col("w")).otherwise(0.0)), F.sum("w")).alias("score"),
     )
-    return total
 
 
 def average(neighbours: DataFrame, weights: str = "uniform") -> DataFrame:
-    """(Weighted) mean payload per query; a query that hits references exactly takes their mean."""
+    """(Weighted) mean payload per query row; a query that hits references exactly takes their mean."""
     w = _vote_weight(weights)
-    return neighbours.groupBy("id").agg((F.sum(w * F.col("payload")) / F.sum(w)).alias("prediction"))
+    return neighbours.groupBy(*_per_query(neighbours)).agg((F.sum(w * F.col("payload")) / F.sum(w)).alias("prediction"))
 
 
 def _vote_weight(weights: str):

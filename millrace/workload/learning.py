@@ -493,16 +493,17 @@ def dbscan_core(t):
     return density.neighbour_counts(_vectors(t), _EPS).withColumn("core", F.col("n") >= _MIN)
 
 
-@query(
-    "dbscan_labels",
-    "U5",
+_DBSCAN_SQL = (
     f"WITH RECURSIVE n AS (SELECT a.vec_id AS i, b.vec_id AS j FROM embeddings a JOIN embeddings b ON {_DIST} <= {_EPS}), "
     f"c AS (SELECT i FROM n GROUP BY i HAVING count(*) >= {_MIN}), e AS (SELECT n.i, n.j FROM n JOIN c x ON n.i = x.i JOIN c y ON n.j = y.i), "
     "r(i, root) AS (SELECT i, i FROM c UNION SELECT e.j, r.root FROM r JOIN e ON r.i = e.i), m AS (SELECT i, min(root) AS root FROM r GROUP BY i), "
     "k AS (SELECT root, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM m)), cl AS (SELECT m.i, k.cluster FROM m JOIN k USING (root)), "
     "b AS (SELECT n.i, min(cl.cluster) AS cluster FROM n JOIN cl ON n.j = cl.i WHERE n.i NOT IN (SELECT i FROM c) GROUP BY n.i) "
-    "SELECT v.vec_id AS id, cast(coalesce(cl.cluster, b.cluster, -1) as bigint) AS cluster FROM embeddings v LEFT JOIN cl ON v.vec_id = cl.i LEFT JOIN b ON v.vec_id = b.i",
+    "SELECT v.vec_id AS id, cast(coalesce(cl.cluster, b.cluster, -1) as bigint) AS cluster FROM embeddings v LEFT JOIN cl ON v.vec_id = cl.i LEFT JOIN b ON v.vec_id = b.i"
 )
+
+
+@query("dbscan_labels", "U5", _DBSCAN_SQL)
 def dbscan_labels(t):
     return density.dbscan(_vectors(t), _EPS, _MIN)
 

@@ -91,7 +91,7 @@ def test_linear_models_match_closed_forms(spark):
     assert np.array(linear.fit_elastic_net(df, 0.2, 0.5).coefficients) == pytest.approx(w, abs=1e-4)
 
 
-@pytest.mark.parametrize("layout", [{"pivots": 6, "block_rows": 30}, {}])
+@pytest.mark.parametrize("layout", [{"leaf_rows": 12, "fanout": 3, "block_rows": 7}, {}])
 @pytest.mark.parametrize("p", [1, 2])
 def test_neighbours_equal_brute_force(spark, cloud, layout, p):
     pts = nearest.as_points(vectors(spark, cloud), "row_id", "features").cache()
@@ -118,7 +118,7 @@ def test_components_of_chain_and_hub(spark):
     assert {r["id"]: r["component"] for r in got.collect()} == {i: (0 if i < 51 else 100 if i < 200 else 200) for i in [*range(51), *range(100, 140), 200]}
 
 
-@pytest.mark.parametrize("eps,least,layout", [(0.9, 5, {"pivots": 4, "block_rows": 60}), (0.05, 5, {})])
+@pytest.mark.parametrize("eps,least,layout", [(0.9, 5, {"leaf_rows": 12, "fanout": 3, "block_rows": 7}), (0.05, 5, {})])
 def test_dbscan_equals_sequential(spark, cloud, eps, least, layout):
     pts = nearest.as_points(vectors(spark, cloud), "row_id", "features").cache()
     got = density.dbscan(pts, eps, least, **layout).toPandas().set_index("id")["cluster"].sort_index().to_numpy()
@@ -228,7 +228,7 @@ def test_finalists_follow_the_published_rankings(spark):
 def test_search_sizes():
     sizes = {n: (len(selection.combinations(s["random"])), len(selection.combinations(s["grid"]))) for n, s in {**candidates.CLASSIFIER_SPACES, **candidates.REGRESSOR_SPACES}.items()}
     assert [min(12, sizes[n][0]) for n in ("11_GaussianNB", "02_LogisticRegression", "15_SGDClassifier", "06_KNeighborsRegressor", "04_Lasso", "05_ElasticNet")] == [7, 12, 12, 12, 7, 12]
-    assert [sizes[n][1] for n in ("11_GaussianNB", "02_LogisticRegression", "15_SGDClassifier", "06_KNeighborsRegressor", "04_Lasso", "05_ElasticNet")] == [5, 4, 12, 20, 4, 12]
+    assert [sizes[n][1] for n in ("11_GaussianNB", "02_LogisticRegression", "15_SGDClassifier", "06_KNeighborsRegressor", "04_Lasso", "05_ElasticNet")] == [5, 4, 6, 20, 4, 12]
     assert selection.params_json({"b": None, "a": 1e-11}) == '{"modelo__a": 1e-11, "modelo__b": null}'
 
 
