@@ -93,7 +93,7 @@ def _blocks(batches, pattern: str):
         index, codes, counts, seal = _Index(), [], [], hashlib.blake2b(digest_size=8)
         seal.update(repr(part.column(0).to_pylist()).encode())
         place = index.__getitem__
-        for text in map(pa.Scalar.as_py, part.column("text")):
+        for text in (t.as_py() for t in part.column("text")):
             found = split(text or "")
             counts.append(len(found))
             codes.append(np.fromiter(map(place, found), np.uint32, len(found)))
