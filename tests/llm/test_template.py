@@ -39,6 +39,62 @@ def test_text_is_not_lost_to_loose_patterns(html, text):
     assert template.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<article><h2 id='related-work'>Related work</h2><p>x</p></article>", "Related work x"), ("<article><section id=discussion><p>x</p></section></article>", "x"),
+        ("<article><p class='social-history'>a</p><p id=search-algorithms>b</p><div class='share-prices'>c</div></article>", "a b c"),
+        ("<article><p class=notice>a</p><div class='site-footer'>b</div><div id='comments-list'>c</div><div class='share-buttons'>d</div><p>e</p></article>", "e"),
+        ("<main><p>own</p></main><article class=teaser>Read also</article>", "own"), ("<main><p>own</p></main><article>Read also</article>", "own"),
+        ("<main><p>menu</p><article><p>the article itself</p></article></main>", "the article itself"),
+        ("<main><p>a long own text</p><article><p>more</p></article></main>", "a long own text more"),
+        ("<a \"b c> <p>x</p>", "x"), ("a < b <p class='>y</p> <i>z", "a < b y z"), ("<p>x</p><a 'b", "x <a 'b"),
+    ],
+)
+def test_names_marks_and_torn_tags(html, text):
+    assert template.main_text(html) == text
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a ", "<a \"' ", "<script ", "<!", "<!-- ", "<div>", "</p>", "<p>", "<b class='x", "<svg ", "</script"])
+@pytest.mark.parametrize("tail", ["", ">", "</span>" * 20_000])
+def test_broken_pages_are_read_in_linear_time(piece, tail):
+    import time
+
+    start = time.process_time()
+    template.main_text(piece * (1_000_000 // len(piece)) + tail)
+    assert time.process_time() - start < 6
+
+
+def test_notices_inside_articles_of_a_host(spark):
+    def page(i, host="n.example", notice="<div class=box>Subscribe now!</div>"):
+        return (i, f"http://{host}/{i}", f"<article><h1>Title {i}</h1><p>First {i}.</p>" + f"<p>Some more of {i}.</p>" * (i % 7) + f"<ul><li>Salt</li><li>own {i}</li></ul>{notice}</article>")
+
+    copies = [(1000 + i, f"http://copies.example/{i}", f"<article><p>{'Long text of all the copies. ' * 3}</p><p>edit {i}</p><p>And its last part.</p></article>") for i in range(40)]
+    few = [page(2000 + i, "few.example") for i in range(4)]
+    rows = [page(i) for i in range(400)] + copies + few
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in template.extract(df).collect()}
+
+    def own(i):
+        return f"Title {i} First {i}." + f" Some more of {i}." * (i % 7) + f" Salt own {i}"
+
+    want = {i: own(i) for i in range(400)} | {2000 + i: own(2000 + i) + " Subscribe now!" for i in range(4)}
+    want |= {1000 + i: "Long text of all the copies. " * 3 + f"edit {i} And its last part." for i in range(40)}
+    assert got == want
+
+
+def test_counts_of_a_host_restated(spark):
+    pages = [(f"http://h{i % 3}.example/{i}", f"<body><div><p>{'abc'[i % 3]}</p></div><div><p>own {i}</p></div><div><b>{i % 4}</b></div></body>") for i in range(60)]
+    df = spark.createDataFrame(pages, "url string, html string")
+    got = {r.host: set(r.templates) for r in template.templates(df, many_pages=10**9).collect()}
+    want = {}
+    for h in range(3):
+        trees = [{n.hash for n in template.parse(html) if n.tag not in ("#root", "html", "body") and n.parts} for url, html in pages if f"//h{h}." in url]
+        every = set().union(*trees)
+        want[f"h{h}.example"] = {t for t in every if sum(t in tree for tree in trees) >= max(5, 0.3 * len(trees))}
+    assert got == want
+
+
 def test_templates_of_a_host(spark):
     def page(i, host):
         return (i, f"http://{host}/p{i}", f"<body><div><p>Site banner of all pages</p></div><div><p>own text {i}</p></div></body>", "url")
