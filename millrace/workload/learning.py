@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.models import candidates, gaussian, linear
+from millrace.models import candidates, gaussian, histogram, linear
 from millrace.operators import cluster, density, features, folds, metrics, nearest, vectorize
 from millrace.plans import reports, selection
 from millrace.sources.tables import keep_for_reuse
@@ -678,6 +678,41 @@ _IDS = {
 _REG_IDS = {"07": "R7", "08": "R8", "10": "R9", "11": "R10", "12": "R11", "13": "R12", "14": "R13", "15": "R14"}
 
 
+def _gain_sql(rows: str, gain: str) -> str:
+    """All cuts of a table (v, x, y) by value with their gains; ``rows`` gives it."""
+    return (
+        f"SELECT v, x, n, s, tn, ts, {gain} AS gain FROM (SELECT v, x, sum(c) OVER (PARTITION BY v ORDER BY x) AS n, sum(s) OVER (PARTITION BY v ORDER BY x) AS s, "
+        f"sum(c) OVER (PARTITION BY v) AS tn, sum(s) OVER (PARTITION BY v) AS ts FROM (SELECT v, x, count(*) AS c, sum(y) AS s FROM ({rows}) GROUP BY v, x))"
+        " WHERE n >= 20 AND tn - n >= 20"
+    )
+
+
+_GAIN = "s * s / (n + 1) + (ts - s) * (ts - s) / (tn - n + 1) - ts * ts / (tn + 1)"
+_LONG_SQL = "SELECT i, unnest([0, 1, 2]) AS v, unnest([q, d, t]) AS x, y FROM ({})"
+_FIRST_BEST = "ORDER BY round(gain, 6) DESC, v, x LIMIT 1"
+_TREE_SQL = (
+    f"WITH base AS (SELECT row_number() OVER () AS i, l_quantity AS q, l_discount AS d, l_tax AS t, cast({_LABEL} as double) AS label FROM lineitem), "
+    "r AS (SELECT i, q, d, t, (SELECT avg(label) FROM base) - label AS y FROM base), "
+    f"one AS (SELECT * FROM ({_gain_sql(_LONG_SQL.format('SELECT * FROM r'), _GAIN)}) {_FIRST_BEST}), "
+    "side AS (SELECT r.*, [q, d, t][1 + one.v] <= one.x AS izquierda FROM r, one), "
+    f"a AS (SELECT * FROM ({_gain_sql(_LONG_SQL.format('SELECT * FROM side WHERE izquierda'), _GAIN)}) {_FIRST_BEST}), "
+    f"b AS (SELECT * FROM ({_gain_sql(_LONG_SQL.format('SELECT * FROM side WHERE NOT izquierda'), _GAIN)}) {_FIRST_BEST}), "
+    "two AS (SELECT * FROM (SELECT *, true AS izquierda FROM a UNION ALL SELECT *, false FROM b) WHERE gain > 0 ORDER BY gain DESC, izquierda DESC LIMIT 1), "
+    "leaf AS (SELECT y, CASE WHEN side.izquierda <> two.izquierda THEN 0 WHEN [q, d, t][1 + two.v] <= two.x THEN 1 ELSE 2 END AS hoja FROM side, two) "
+    "SELECT count(*) AS filas, round(-0.5 * sum(y) / (count(*) + 1), 6) AS valor FROM leaf GROUP BY hoja"
+)
+
+
+@query("histogram_tree", "K7 R10", _TREE_SQL)
+def histogram_tree(t):
+    """Leaves of one best-first tree: rows and shrunken value, with an L2 term of 1."""
+    rows = t.raw("lineitem").select("l_quantity", "l_discount", "l_tax", F.expr(f"cast({_LABEL} as double)").alias("label"))
+    ready = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(rows)
+    model = histogram.fit_histogram_boosting(ready, "squared_error", 1, 0.5, max_leaf_nodes=3, l2=1.0)
+    leaves = model.transform(ready).groupBy(F.round(F.col("prediction") - F.lit(model.base), 6).alias("valor")).agg(F.count(F.lit(1)).alias("filas"))
+    return leaves.select("filas", "valor")
+
+
 def _register_fits():
     for name, params in _CLF_PARAMS.items():
 

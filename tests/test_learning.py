@@ -181,7 +181,7 @@ _QUICK = {
     "05_RandomForestClassifier": {"n_estimators": 5, "max_depth": 4}, "07_GradientBoostingClassifier": {"n_estimators": 3},
     "08_HistGradientBoosting": {"max_iter": 3, "max_leaf_nodes": 8}, "09_AdaBoostClassifier": {"n_estimators": 6},
     "10_SVC": {"size": 32}, "14_BaggingClassifier": {"n_estimators": 3}, "08_RandomForestRegressor": {"n_estimators": 3},
-    "10_GradientBoostingRegressor": {"n_estimators": 3}, "11_HistGradientBoosting": {"max_iter": 3},
+    "10_GradientBoostingRegressor": {"n_estimators": 3}, "11_HistGradientBoosting": {"max_iter": 20},
     "12_AdaBoostRegressor": {"n_estimators": 6}, "13_SVR": {"size": 32}, "14_BaggingRegressor": {"n_estimators": 3},
 }
 
