@@ -14,6 +14,8 @@ from millrace.llm.common import fmix, lots, query, split_words, stage, table, wo
 from millrace.operators.graph import connected_components
 
 BLOCK_BYTES = 8 << 20
+#: Partners of a class that are counted in one task.
+GROUP_SETS = 1000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -174,6 +176,32 @@ def _segments(width: int, pivots: np.ndarray, ranks_of):
     return run
 
 
+def _overlaps(batches):
+    """Rows sorted by (class, fragment, salt), the class's own n-grams first: the overlap of each partner with them.
+
+    One segment is held at a time, however many partners a class has; a repeated segment counts once.
+    """
+    key = own = last = None
+    for batch in batches:
+        names = [batch.column(c).to_numpy() for c in ("a", "fragment", "salt", "id")]
+        lists = batch.column("grams")
+        values, ends = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+        found = []
+        for i, (a, fragment, salt, name) in enumerate(zip(*(c.tolist() for c in names), strict=True)):
+            if (a, fragment, salt) != key:
+                key, own, last = (a, fragment, salt), None, None
+            grams = values[ends[i] : ends[i + 1]]
+            if name == a:
+                own = np.sort(grams)
+            elif own is not None and name != last:
+                last = name
+                at = np.minimum(np.searchsorted(own, grams), len(own) - 1)
+                if same := int(np.count_nonzero(own[at] == grams)):
+                    found.append((a, name, same))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b", "part"])
+
+
 class NgramJoin:
     """Links between documents whose n-gram sets have a Jaccard similarity of num/den or more.
 
@@ -185,8 +213,8 @@ class NgramJoin:
        keeps its counts per fragment and its prefix (the rarest n-grams, of
        which two similar sets share one).
     3. Candidates share a prefix n-gram and a size class, and pass the length, position and
-       fragment-count bounds, all of which are lossless. Overlaps are counted
-       fragment by fragment and summed per pair.
+       fragment-count bounds, all of which are lossless. A class's n-grams go to each of its partners'
+       groups once, fragment by fragment; overlaps are counted there and summed per pair.
     4. Groups of near copies are not expanded: first each n-gram's most
        central class is compared with the others. Their links give
        components, and only pairs between different components follow.
@@ -260,20 +288,20 @@ class NgramJoin:
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Partial overlaps counted per fragment and summed per pair; the links that reach the threshold."""
         pairs = stage(self.bounded(pairs), f"ngram-{name}-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        wanted = stage(self.classes.select("id", "fp").join(wanted, "id"), f"ngram-{name}-wanted")
-        texts = self.sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(wanted, "fp").select("doc_id")
+        degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(GROUP_SETS))).cast("int").alias("salts"))
+        members = pairs.select("a", F.col("b").alias("id")).join(degree, "a").select("a", "id", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
+        heads = degree.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        wanted = stage(members.unionByName(heads).join(self.classes.select("id", "fp"), "id"), f"ngram-{name}-wanted")
+        texts = self.sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(wanted.select("fp").distinct(), "fp").select("doc_id")
         texts = stage(texts.distinct(), f"ngram-{name}-texts")
         few = texts.count() <= self.broadcast_rows
         texts = self.docs.join(F.broadcast(texts) if few else texts, "doc_id").select("text")
         cut = texts.mapInArrow(_segments(self.width, self.pivots, self.ranks), "fp binary, fragment int, grams array<long>")
-        cut = stage(cut.dropDuplicates(["fp", "fragment"]).join(wanted, "fp").drop("fp"), f"ngram-{name}-segments")
-        left = cut.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("ga"))
-        right = cut.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("gb"))
-        partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("part"))
-        total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("overlap"))
+        keys = ["a", "fragment", "salt"]
+        sent = cut.join(wanted, "fp").select(*keys, "id", "grams").repartition(*keys).sortWithinPartitions(*keys, F.col("id") != F.col("a"), "id")
+        total = sent.mapInArrow(_overlaps, "a long, b long, part long").groupBy("a", "b").agg(F.sum("part").alias("overlap"))
         linked = F.expr(f"{self.den}L * overlap >= {self.num}L * (na + nb - overlap)")
-        return stage(total.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")), f"ngram-{name}-links")
+        return stage(total.join(pairs, ["a", "b"]).where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")), f"ngram-{name}-links")
 
     def roots(self, links: DataFrame) -> DataFrame:
         nodes = links.select(F.explode(F.array("u", "v")).alias("id")).distinct()
