@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,9 +11,13 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import col
 
+#: Rows whose medians are the centres of the sums.
+CENTRE_ROWS = 1000
+
 
 @dataclass
 class Moments:
@@ -44,35 +49,47 @@ def class_moments(
 ) -> dict[float, Moments]:
     """Moments per class; with ``target`` the label is appended as the last coordinate.
 
-    A first pass finds each class's mean; a second sums the deviations from it, so
-    large values with a small spread lose nothing. Each partition folds its
+    One pass sums the deviations from a centre near each class's mean, the medians of a few rows, so
+    large values with a small spread lose nothing; any centre within the spread of the values is as good. Each partition folds its
     batches into one small block per class; the blocks are summed position by position on the
     cluster, so what reaches the driver is d (or d*d) numbers per class whatever the row count.
+    ``features`` may be a vector or an array.
     """
-    values = vector_to_array(col(features))
+    values = col(features) if isinstance(df.schema[features].dataType, T.ArrayType) else vector_to_array(col(features))
     if target is not None:
         values = F.concat(values, F.array(col(target).cast("double")))
     key = col(by).cast("double") if by else F.lit(0.0)
 
     work = df.select(key.alias("k"), values.alias("x"))
-    first = _summed(work, lambda rows, _: [rows.sum(0)], {})
-    centres = {k: flat[1:] / flat[0] for k, flat in first.items()}
+    centres, middle = {}, None
+    few = work.limit(CENTRE_ROWS).toPandas()
+    if len(few):
+        matrix, keys = np.stack(few["x"].to_numpy()), few["k"].to_numpy()
+        centres = {float(k): _median(matrix[keys == k]) for k in np.unique(keys)}
+        middle = _median(matrix)
 
     def deviations(rows: np.ndarray, centre: np.ndarray) -> list[np.ndarray]:
         rows = rows - centre
         return [rows.sum(0), (rows**2).sum(0), *([(rows.T @ rows).ravel()] if cross else [])]
 
     out = {}
-    for k, flat in _summed(work, deviations, centres).items():
-        n, centre = flat[0], centres[k]
+    for k, flat in _summed(work, deviations, centres, middle).items():
+        n, centre = flat[0], centres.get(k, middle)
         d = len(centre)
-        off = flat[1 : 1 + d] / n  # what rounding left of the first pass
+        off = flat[1 : 1 + d] / n
         gram = flat[1 + 2 * d :].reshape(d, d) - n * np.outer(off, off) if cross else None
         out[k] = Moments(n, centre + off, flat[1 + d : 1 + 2 * d] - n * off**2, gram)
     return out
 
 
-def _summed(work: DataFrame, parts_of, centres: dict[float, np.ndarray]) -> dict[float, np.ndarray]:
+def _median(rows: np.ndarray) -> np.ndarray:
+    finite = np.where(np.isfinite(rows), rows, np.nan)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)
+        return np.nan_to_num(np.nanmedian(finite, axis=0))
+
+
+def _summed(work: DataFrame, parts_of, centres: dict[float, np.ndarray], middle) -> dict[float, np.ndarray]:
     """Per class: row count and the sums that ``parts_of(rows, centre)`` makes, as one flat array."""
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +101,7 @@ def _summed(work: DataFrame, parts_of, centres: dict[float, np.ndarray]) -> dict
             keys = batch["k"].to_numpy()
             for k in np.unique(keys):
                 rows = matrix[keys == k]
-                flat = np.concatenate([np.array([len(rows)], float), *parts_of(rows, centres.get(k))])
+                flat = np.concatenate([np.array([len(rows)], float), *parts_of(rows, centres.get(k, middle))])
                 held[k] = held[k] + flat if k in held else flat
         for k, flat in held.items():
             yield pd.DataFrame({"k": [float(k)], "block": [flat]})

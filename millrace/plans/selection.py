@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.models import candidates, gaussian
+from millrace.models import batch, candidates, gaussian
 from millrace.models.candidates import ROW_ID
 from millrace.operators import folds, metrics, vectorize
 from millrace.session import col, cut_lineage
@@ -167,11 +167,16 @@ def params_json(params: Mapping[str, Any]) -> str:
 def search(
     data: FoldInput, name: str, trials: Sequence[Mapping[str, Any]], parallelism: int = 4
 ) -> tuple[dict[str, Any], float]:
-    """Best parameters by mean fold score; a trial that fails counts as missing."""
+    """Best parameters by mean fold score; a trial that fails counts as missing.
+
+    Linear models and naive Bayes score all trials and folds in shared scans, others are fitted one by one.
+    """
     main = _MAIN[data.kind]
     if name == "11_GaussianNB":
         scores = _bayes_scores(data, [t["var_smoothing"] for t in trials])
     else:
+        scores = batch.fold_means(data.parts, name, trials, data.kind == REGRESSION)
+    if scores is None:
         scores = []
         for t in trials:
             value = cross_validate(data, name, t, parallelism).get(main)

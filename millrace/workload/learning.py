@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.models import candidates, gaussian, histogram, linear
+from millrace.models import batch, candidates, gaussian, histogram, linear
 from millrace.operators import cluster, density, features, folds, metrics, nearest, vectorize
 from millrace.plans import reports, selection
 from millrace.sources.tables import keep_for_reuse
@@ -750,7 +750,7 @@ def _order_folds(t):
 def _orders(t):
     lines = t.raw("lineitem").withColumn("late", (F.col("l_returnflag") == "R").cast("int"))
     return lines.groupBy("l_orderkey").agg(
-        F.max("late").alias("late"), F.sum("l_quantity").alias("quantity"), F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax")
+        F.max("late").alias("late"), F.sum("l_quantity").alias("quantity"), F.sum(F.col("l_extendedprice") / 1000).alias("price"), F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax")
     )
 
 
@@ -764,16 +764,48 @@ def smoothing_sweep(t):
     return rates.groupBy("trial", "var_smoothing").agg(F.round(F.avg("f1"), 6).alias("f1")).orderBy(F.col("f1").desc(), "trial")
 
 
-@query("parameter_search", "Q14 Q15 Q16 Q19")
+@query("parameter_search", "Q14 Q15 Q16 Q19 K14")
 def parameter_search(t):
-    """Best grid point per aggregate model over the orders table, as a search-result table."""
-    data = _order_folds(t)
+    """Best grid and random point of every linear and moment model over the orders table, both problems, as a search-result table."""
+    prices = selection.fold_input(_orders(t), "regresion", "price", "l_orderkey", ["quantity", "discount", "tax"], [])
     rows = []
-    for name in ("11_GaussianNB", "12_LinearDiscriminantAnalysis"):
-        trials = selection.combinations(candidates.CLASSIFIER_SPACES[name]["grid"])
-        params, score = selection.search(data, name, trials)
-        rows.append((name, len(trials), round(score, 4), selection.params_json(params)))
-    return t.spark.createDataFrame(rows, "modelo string, n_combinaciones int, best_score_cv double, best_params string")
+    for data, spaces, names in (
+        (_order_folds(t), candidates.CLASSIFIER_SPACES, ("02_LogisticRegression", "11_GaussianNB", "12_LinearDiscriminantAnalysis", "15_SGDClassifier")),
+        (prices, candidates.REGRESSOR_SPACES, ("03_Ridge", "04_Lasso", "05_ElasticNet")),
+    ):
+        for name in names:
+            for method in ("grid", "random"):
+                trials = selection.combinations(spaces[name][method])
+                params, score = selection.search(data, name, trials)
+                rows.append((data.kind, name, method, len(trials), round(score, 4), selection.params_json(params)))
+    return t.spark.createDataFrame(rows, "tipo_problema string, modelo string, search string, n_combinaciones int, best_score_cv double, best_params string")
+
+
+def _ridge_errors_sql(alphas) -> str:
+    """Ridge on two features per fold and penalty from sums of the rows outside the fold, and its error inside it."""
+    sums = "count(*) AS n, sum(a) AS sa, sum(b) AS sb, sum(y) AS sy, sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb, sum(a * y) AS say, sum(b * y) AS sby"
+    listed = ", ".join(f"({a})" for a in alphas)
+    return (
+        "WITH r AS (SELECT l_orderkey % 5 AS f, l_quantity AS a, 100 * l_discount AS b, l_extendedprice / 1000 AS y FROM lineitem), k AS (SELECT DISTINCT f AS part FROM r), "
+        f"s AS (SELECT part, {sums} FROM r JOIN k ON f <> part GROUP BY part), "
+        f"c AS (SELECT part, alpha, sa / n AS ma, sb / n AS mb, sy / n AS my, saa - sa * sa / n + alpha AS aa, sab - sa * sb / n AS ab, sbb - sb * sb / n + alpha AS bb, say - sa * sy / n AS ay, sby - sb * sy / n AS yb "
+        f"FROM s, (VALUES {listed}) AS p(alpha)), "
+        "w AS (SELECT part, alpha, ma, mb, my, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM c), "
+        "e AS (SELECT alpha, part, avg(abs(my + wa * (a - ma) + wb * (b - mb) - y)) AS mae FROM w JOIN r ON f = part GROUP BY alpha, part) "
+        "SELECT cast(alpha as double) AS alpha, round(avg(mae), 6) AS mae FROM e GROUP BY alpha"
+    )
+
+
+_ALPHAS = tuple(candidates.REGRESSOR_SPACES["03_Ridge"]["random"]["alpha"])
+
+
+@query("ridge_search", "Q4 Q14 Q16 R3", _ridge_errors_sql(_ALPHAS))
+def ridge_search(t):
+    """Mean error over five folds of every ridge penalty of the search space: one pass to fit all, one to score all."""
+    rows = t.raw("lineitem").selectExpr("cast(l_orderkey % 5 as int) AS fold", "l_quantity", "100 * l_discount AS b", "l_extendedprice / 1000 AS label", "1.0 AS weight")
+    ready = VectorAssembler(inputCols=["l_quantity", "b"], outputCol="features").transform(rows)
+    errors = batch.fold_means([ready] * 5, "03_Ridge", [{"alpha": a} for a in _ALPHAS], True)
+    return t.spark.createDataFrame(list(zip(map(float, _ALPHAS), errors)), "alpha double, mae double").withColumn("mae", F.round("mae", 6))
 
 
 @query("tuned_stages", "Q17 Q18 Q20")
