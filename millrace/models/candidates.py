@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.models import batch, boost, gaussian, histogram, kernel, linear
+from millrace.models.neighbours import fit_neighbours
 from millrace.operators import stats
-from millrace.operators.join import left_join_unique
-from millrace.operators.nearest import as_points, average, nearest_neighbours, vote
 from millrace.session import col
 
 Apply = Callable[[DataFrame], DataFrame]
@@ -64,14 +63,23 @@ def _depth(value) -> int:
     return DEEPEST_TREE if value is None else int(value)
 
 
+class Constant:
+    """One prediction for every row; classifiers score 0."""
+
+    def __init__(self, prediction: float, score: float | None = None):
+        self.prediction, self.score = prediction, score
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("prediction", F.lit(self.prediction))
+        return rows if self.score is None else rows.withColumn("score", F.lit(self.score))
+
+
 def _majority(train: DataFrame) -> Apply:
-    top = float(stats.modes(train, ["label"])["label"])
-    return lambda rows: rows.withColumns({"prediction": F.lit(top), "score": F.lit(0.0)})
+    return Constant(float(stats.modes(train, ["label"])["label"]), 0.0).transform
 
 
 def _mean(train: DataFrame) -> Apply:
-    value = train.agg(F.avg("label")).first()[0]
-    return lambda rows: rows.withColumn("prediction", F.lit(value))
+    return Constant(train.agg(F.avg("label")).first()[0]).transform
 
 
 def _logistic(c: float = 1.0, elastic: float = 0.0) -> Fit:
@@ -105,19 +113,6 @@ def _stochastic(loss: str = "hinge", alpha: float = 1e-4, penalty: str = "l2") -
     return unsupported
 
 
-def _knn(k: int, p: int, weights: str, combine) -> Fit:
-    def fit(train):
-        refs = as_points(train, ROW_ID, "features", "label")
-
-        def transform(rows: DataFrame) -> DataFrame:
-            found = nearest_neighbours(as_points(rows, ROW_ID, "features"), refs, k, p)
-            return left_join_unique(rows, combine(found, weights).drop("row").withColumnRenamed("id", ROW_ID), ROW_ID, check=False)
-
-        return transform
-
-    return fit
-
-
 def _histogram(train: DataFrame, loss: str, p: Mapping[str, Any]):
     return histogram.fit_histogram_boosting(
         train, loss, p.get("max_iter", 100), p.get("learning_rate", 0.1), p.get("max_leaf_nodes", 31), p.get("min_samples_leaf", 20), p.get("l2_regularization", 0.0)
@@ -136,7 +131,7 @@ def build(name: str, params: Mapping[str, Any] | None = None, seed: int = 42) ->
         "01_DummyClassifier": lambda: _majority,
         # The solver choice is accepted and has no effect: both reach the same optimum.
         "02_LogisticRegression": lambda: _logistic(get("C", 1.0)),
-        "03_KNeighborsClassifier": lambda: _knn(get("n_neighbors", 5), get("p", 2), get("weights", "uniform"), vote),
+        "03_KNeighborsClassifier": lambda: _own(lambda t: fit_neighbours(t, get("n_neighbors", 5), get("p", 2), get("weights", "uniform"), "vote", ROW_ID)),
         "04_DecisionTreeClassifier": lambda: _estimator(
             lambda: DecisionTreeClassifier(
                 weightCol="weight", maxDepth=_depth(get("max_depth")), impurity=get("criterion", "gini"),
@@ -154,7 +149,7 @@ def build(name: str, params: Mapping[str, Any] | None = None, seed: int = 42) ->
         ),
         "08_HistGradientBoosting": lambda: _own(lambda t: _histogram(t, "log_loss", p)),
         "09_AdaBoostClassifier": lambda: _own(lambda t: boost.fit_adaboost(t, get("n_estimators", 100), get("learning_rate", 1.0))),
-        "10_SVC": lambda: lambda t: kernel.fit_kernel_classifier(t, get("C", 1.0), get("gamma", "scale"), get("size", 256), seed),
+        "10_SVC": lambda: _own(lambda t: kernel.fit_kernel_classifier(t, get("C", 1.0), get("gamma", "scale"), get("size", 256), seed)),
         "11_GaussianNB": lambda: _own(lambda t: gaussian.fit_naive_bayes(t, get("var_smoothing", 1e-9))),
         "12_LinearDiscriminantAnalysis": lambda: _own(lambda t: gaussian.fit_linear_discriminant(t, get("shrinkage"))),
         "13_QuadraticDiscriminantAnalysis": lambda: _own(lambda t: gaussian.fit_quadratic_discriminant(t, get("reg_param", 0.01))),
@@ -167,7 +162,7 @@ def build(name: str, params: Mapping[str, Any] | None = None, seed: int = 42) ->
         "03_Ridge": lambda: lambda t: _clean(linear.fit_ridge(t, get("alpha", 1.0))),
         "04_Lasso": lambda: lambda t: _clean(linear.fit_lasso(t, get("alpha", 0.1))),
         "05_ElasticNet": lambda: lambda t: _clean(linear.fit_elastic_net(t, get("alpha", 0.1), get("l1_ratio", 0.5))),
-        "06_KNeighborsRegressor": lambda: _knn(get("n_neighbors", 5), get("p", 2), get("weights", "uniform"), average),
+        "06_KNeighborsRegressor": lambda: _own(lambda t: fit_neighbours(t, get("n_neighbors", 5), get("p", 2), get("weights", "uniform"), "average", ROW_ID)),
         "07_DecisionTreeRegressor": lambda: _estimator(lambda: DecisionTreeRegressor(maxDepth=_depth(get("max_depth")), seed=seed)),
         "08_RandomForestRegressor": lambda: _estimator(
             lambda: RandomForestRegressor(numTrees=get("n_estimators", 100), maxDepth=_depth(get("max_depth")), featureSubsetStrategy="all", seed=seed)
@@ -180,7 +175,7 @@ def build(name: str, params: Mapping[str, Any] | None = None, seed: int = 42) ->
         ),
         "11_HistGradientBoosting": lambda: _own(lambda t: _histogram(t, "squared_error", p)),
         "12_AdaBoostRegressor": lambda: _own(lambda t: boost.fit_adaboost_regressor(t, get("n_estimators", 100))),
-        "13_SVR": lambda: lambda t: kernel.fit_kernel_regressor(t, get("C", 1.0), get("gamma", "scale"), get("size", 256), seed),
+        "13_SVR": lambda: _own(lambda t: kernel.fit_kernel_regressor(t, get("C", 1.0), get("gamma", "scale"), get("size", 256), seed)),
         "14_BaggingRegressor": lambda: _estimator(
             lambda: RandomForestRegressor(numTrees=get("n_estimators", 50), maxDepth=_depth(get("max_depth")), featureSubsetStrategy="all", seed=seed)
         ),

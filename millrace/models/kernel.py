@@ -46,33 +46,37 @@ def gamma_value(df: DataFrame, gamma: float | str) -> tuple[int, float]:
     return d, float(gamma)
 
 
-def fit_kernel_classifier(df: DataFrame, c: float = 1.0, gamma: float | str = "scale", size: int = 256, seed: int = 42):
+class KernelModel:
+    """A linear Spark model on Fourier features; classifiers add a score."""
+
+    def __init__(self, model, d: int, gamma: float, size: int, seed: int):
+        self.model, self.d, self.gamma, self.size, self.seed = model, d, gamma, size, seed
+        self.lift = FourierMap(d, gamma, size, seed)
+
+    def numbers(self) -> dict:
+        return {"d": self.d, "gamma": self.gamma, "size": self.size, "seed": self.seed}
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        lifted = self.lift.transform(rows, "__lifted").withColumnRenamed("features", "__kept").withColumnRenamed("__lifted", "features")
+        scored = self.model.transform(lifted)
+        if "rawPrediction" in scored.columns:
+            scored = scored.withColumn("score", vector_to_array("rawPrediction")[1]).drop("rawPrediction")
+        return scored.drop("features").withColumnRenamed("__kept", "features")
+
+
+def fit_kernel_classifier(df: DataFrame, c: float = 1.0, gamma: float | str = "scale", size: int = 256, seed: int = 42) -> KernelModel:
     d, g = gamma_value(df, gamma)
-    lift = FourierMap(d, g, size, seed)
-    ready = keep_for_reuse(lift.transform(df))
+    ready = keep_for_reuse(FourierMap(d, g, size, seed).transform(df))
     total = ready.agg(F.sum("weight")).first()[0]
     model = LinearSVC(weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=1000, tol=1e-6).fit(ready)
     ready.unpersist()
+    return KernelModel(model, d, g, size, seed)
 
-    def transform(rows: DataFrame) -> DataFrame:
-        scored = model.transform(lift.transform(rows, "__lifted").withColumnRenamed("features", "__kept").withColumnRenamed("__lifted", "features"))
-        scored = scored.withColumn("score", vector_to_array("rawPrediction")[1]).drop("features", "rawPrediction")
-        return scored.withColumnRenamed("__kept", "features")
 
-    return transform
-
-
-def fit_kernel_regressor(df: DataFrame, c: float = 1.0, gamma: float | str = "scale", size: int = 256, seed: int = 42):
+def fit_kernel_regressor(df: DataFrame, c: float = 1.0, gamma: float | str = "scale", size: int = 256, seed: int = 42) -> KernelModel:
     d, g = gamma_value(df, gamma)
-    lift = FourierMap(d, g, size, seed)
-    ready = keep_for_reuse(lift.transform(df))
+    ready = keep_for_reuse(FourierMap(d, g, size, seed).transform(df))
     n = ready.count()
-    estimator = LinearRegression(loss="huber", regParam=1.0 / (c * n), standardization=False, maxIter=200)
-    model = estimator.fit(ready)
+    model = LinearRegression(loss="huber", regParam=1.0 / (c * n), standardization=False, maxIter=200).fit(ready)
     ready.unpersist()
-
-    def transform(rows: DataFrame) -> DataFrame:
-        scored = model.transform(lift.transform(rows, "__lifted").withColumnRenamed("features", "__kept").withColumnRenamed("__lifted", "features"))
-        return scored.drop("features").withColumnRenamed("__kept", "features")
-
-    return transform
+    return KernelModel(model, d, g, size, seed)

@@ -1,44 +1,118 @@
-"""Save and load a fitted model together with its vectoriser."""
+"""Save and load any fitted candidate together with its vectoriser, as tables and Spark ML folders.
+
+``parameters`` holds one row: the version of the layout, the kind of model, its numbers and the columns that it was fitted
+on. Models that are more than numbers have folders beside it: Spark ML models, a list of trees, or the tree of the known points.
+"""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.models.candidates import Apply, keep_result_columns
+from millrace.models.batch import LinearCall
+from millrace.models.boost import BoostedClassifier, BoostedRegressor
+from millrace.models.candidates import Apply, Constant, keep_result_columns
 from millrace.models.gaussian import LogDensityModel
+from millrace.models.histogram import HistModel
+from millrace.models.kernel import KernelModel
+from millrace.models.linear import RidgeSolution
+from millrace.models.neighbours import NeighbourModel
 from millrace.sources.tables import load_model, save_model
 
+VERSION = 2
+
+
+def _save_all(models, path: str) -> None:
+    for i, model in enumerate(models):
+        model.write().overwrite().save(f"{path}/{i}")
+
+
+def _load_all(spark: SparkSession, path: str, n: int) -> list:
+    return [DefaultParamsReader.loadParamsInstance(f"{path}/{i}", spark.sparkContext) for i in range(n)]
+
+
+def _save_trees(m, path: str) -> dict:
+    _save_all(m.trees, f"{path}/trees")
+    return {"weights": [float(v) for v in (m.alphas if isinstance(m, BoostedClassifier) else m.powers)]}
+
+
+def _load_trees(kind):
+    return lambda spark, path, v: kind(_load_all(spark, f"{path}/trees", len(v["weights"])), v["weights"])
+
+
+def _save_kernel(m: KernelModel, path: str) -> dict:
+    _save_all([m.model], f"{path}/model")
+    return m.numbers()
 
-def save_fitted(apply: Apply, vectorizer: PipelineModel, path: str) -> None:
-    """Spark ML models become one pipeline; Gaussian models a pipeline and a one-row parameter table."""
+
+#: Kind: (class, save(model, path) -> numbers, load(spark, path, numbers) -> model).
+_KINDS: dict[str, tuple[type, Callable, Callable]] = {
+    "gaussian": (LogDensityModel, lambda m, _: m.to_dict(), lambda _, __, v: LogDensityModel(**v)),
+    "histogram": (HistModel, lambda m, _: m.to_dict(), lambda _, __, v: HistModel.from_dict(v)),
+    "linear_call": (LinearCall, lambda m, _: {"weights": m.weights.tolist(), "intercept": m.intercept}, lambda _, __, v: LinearCall(**_array(v))),
+    "ridge": (RidgeSolution, lambda m, _: {"weights": m.weights.tolist(), "intercept": m.intercept}, lambda _, __, v: RidgeSolution(**_array(v))),
+    "constant": (Constant, lambda m, _: vars(m), lambda _, __, v: Constant(**v)),
+    "neighbours": (NeighbourModel, lambda m, path: m.save(path), NeighbourModel.load),
+    "boosted_classifier": (BoostedClassifier, _save_trees, _load_trees(BoostedClassifier)),
+    "boosted_regressor": (BoostedRegressor, _save_trees, _load_trees(BoostedRegressor)),
+    "kernel": (KernelModel, _save_kernel, lambda spark, path, v: KernelModel(_load_all(spark, f"{path}/model", 1)[0], **v)),
+}
+
+
+def _array(values: dict) -> dict:
+    import numpy as np
+
+    return {**values, "weights": np.array(values["weights"])}
+
+
+def save_fitted(apply: Apply, vectorizer: PipelineModel, path: str, fitted_on: DataFrame | None = None) -> None:
+    """Write a fitted candidate; ``fitted_on`` (raw rows) records the columns that later rows must have.
+
+    An object of no known kind raises ValueError.
+    """
     spark = SparkSession.getActiveSession()
-    model = getattr(apply, "model", None)
+    model, owner = getattr(apply, "model", None), getattr(apply, "__self__", None)
     if model is not None:
         save_model(PipelineModel([*vectorizer.stages, model]), f"{path}/pipeline")
         kind, values = "spark", {}
-    elif isinstance(getattr(apply, "__self__", None), LogDensityModel):
-        save_model(vectorizer, f"{path}/pipeline")
-        kind, values = "gaussian", apply.__self__.to_dict()
     else:
-        raise ValueError("this model keeps rows or several trees and has no single saved form; refit it from its parameters")
-    row = spark.createDataFrame([(kind, json.dumps(values))], "kind string, parameters string")
+        kind = next((name for name, (cls, _, _) in _KINDS.items() if type(owner) is cls), None)
+        if kind is None:
+            raise ValueError(f"no saved form for {owner if owner is not None else apply!r}")
+        save_model(vectorizer, f"{path}/pipeline")
+        values = _KINDS[kind][1](owner, path)
+    columns = [] if fitted_on is None else [[n, t] for n, t in fitted_on.dtypes]
+    row = spark.createDataFrame([(VERSION, kind, json.dumps(values), json.dumps(columns))], "version int, kind string, parameters string, columns string")
     row.coalesce(1).write.mode("overwrite").parquet(f"{path}/parameters")
 
 
 def load_fitted(spark: SparkSession, path: str) -> Callable[[DataFrame], DataFrame]:
-    """A function that vectorises and scores raw rows."""
-    row = spark.read.parquet(f"{path}/parameters").first()
-    pipeline = load_model(f"{path}/pipeline")
-    if row["kind"] == "spark":
-        return lambda rows: keep_result_columns(pipeline.transform(rows), rows.columns)
-    model = LogDensityModel(**json.loads(row["parameters"]))
+    """A function that vectorises and scores raw rows.
+
+    Raises ValueError for a folder of another version, and, when called, for rows that lack a column the
+    model was fitted on or hold it in another type.
+    """
+    row = spark.read.parquet(f"{path}/parameters").first().asDict()
+    if row.get("version") != VERSION:
+        raise ValueError(f"{path} has version {row.get('version')}, this library reads {VERSION}")
+    pipeline, columns = load_model(f"{path}/pipeline"), json.loads(row["columns"])
+    values: dict[str, Any] = json.loads(row["parameters"])
+    model = None if row["kind"] == "spark" else _KINDS[row["kind"]][2](spark, path, values)
 
     def score(rows: DataFrame) -> DataFrame:
-        scored = model.transform(pipeline.transform(rows))
-        return scored.select(*rows.columns, "prediction", "score")
+        there = dict(rows.dtypes)
+        wrong = [f"{n} {t}" for n, t in columns if there.get(n) != t]
+        if wrong:
+            raise ValueError(f"rows lack columns of the fitted table: {', '.join(wrong)}")
+        ready = pipeline.transform(rows)
+        if model is None:
+            return keep_result_columns(ready, rows.columns)
+        scored = model.transform(ready)
+        return scored.select(*rows.columns, "prediction", *(["score"] if "score" in scored.columns else []))
 
     return score

@@ -239,24 +239,39 @@ def test_search_sizes():
     assert selection.params_json({"b": None, "a": 1e-11}) == '{"modelo__a": 1e-11, "modelo__b": null}'
 
 
-@pytest.mark.parametrize("name", ["11_GaussianNB", "13_QuadraticDiscriminantAnalysis", "02_LogisticRegression"])
+_SAVED = {**_QUICK, "05_RandomForestClassifier": {"n_estimators": 2}, "15_SGDClassifier": {"loss": "modified_huber"}}
+
+
+@pytest.mark.parametrize("name", [*candidates.CLASSIFIERS, *candidates.REGRESSORS])
 def test_saved_model_scores_alike(spark, tmp_path, name):
     rng = np.random.default_rng(6)
     rows = [(i, float(rng.normal()), "ab"[i % 2], float(i % 3 == 0)) for i in range(60)]
     df = spark.createDataFrame(rows, "row_id bigint, n double, t string, label double")
     plan = vectorize.fit_vectorizer(df, ["n"], ["t"])
-    ready = plan.transform(df).select("row_id", "features", "label").withColumn("weight", F.lit(1.0))
-    apply = candidates.build(name)(ready)
-    store.save_fitted(apply, plan, str(tmp_path / "m"))
+    ready = plan.transform(df).select("row_id", "features", "label").withColumn("weight", F.lit(1.0)).cache()
+    apply = candidates.build(name, _SAVED.get(name))(ready)
+    store.save_fitted(apply, plan, str(tmp_path / "m"), df.drop("label"))
+    again = store.load_fitted(spark.newSession(), str(tmp_path / "m"))
+    shown = ["prediction"] + (["score"] if name in candidates.CLASSIFIERS and "score" in apply(ready).columns else [])
+    fresh = {r["row_id"]: [r[c] for c in shown] for r in apply(ready).collect()}
+    saved = {r["row_id"]: [r[c] for c in shown] for r in again(df.drop("label")).collect()}
+    assert saved.keys() == fresh.keys() and all(saved[k] == pytest.approx(v) for k, v in fresh.items())
+
+
+def test_saved_models_check_version_and_columns(spark, labelled, tmp_path):
+    df = labelled.select("row_id", F.col("x")[0].alias("n"), "label")
+    plan = vectorize.fit_vectorizer(df, ["n"], [])
+    apply = candidates.build("11_GaussianNB")(plan.transform(df))
+    store.save_fitted(apply, plan, str(tmp_path / "m"), df.drop("label"))
     again = store.load_fitted(spark, str(tmp_path / "m"))
-    fresh = {r["row_id"]: r["score"] for r in apply(ready).collect()}
-    saved = {r["row_id"]: r["score"] for r in again(df.drop("label")).collect()}
-    assert saved == pytest.approx(fresh)
-
-
-def test_row_keeping_models_have_no_saved_form(labelled, tmp_path):
-    with pytest.raises(ValueError):
-        store.save_fitted(candidates.build("03_KNeighborsClassifier")(labelled), None, str(tmp_path / "k"))
+    with pytest.raises(ValueError, match="n double"):
+        again(df.withColumn("n", F.col("n").cast("string")))
+    old = spark.read.parquet(str(tmp_path / "m" / "parameters")).withColumn("version", F.lit(1)).collect()
+    spark.createDataFrame(old).write.mode("overwrite").parquet(str(tmp_path / "m" / "parameters"))
+    with pytest.raises(ValueError, match="version 1"):
+        store.load_fitted(spark, str(tmp_path / "m"))
+    with pytest.raises(ValueError, match="no saved form"):
+        store.save_fitted(lambda rows: rows, plan, str(tmp_path / "k"))
 
 
 def test_moments_keep_a_small_spread_around_large_values(spark):
