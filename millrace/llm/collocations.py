@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import fmix, lots, query, stage, table, word_hashes
 
-LOT_BYTES = 8 << 20
+LOT_BYTES = 4 << 20
 #: Rows that a count table takes from a lot to the shuffle at once.
 SEND_ROWS = 100_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
