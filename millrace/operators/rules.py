@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.numbers import outside
 from millrace.operators.join import orphan_keys
 from millrace.operators.profile import percent
-from millrace.session import col
+from millrace.session import col, stage
 
 # States of a rule, in reporting order. The Spanish result texts below are fixed too.
 ERROR, WARNING, OK = "ERROR", "ADVERTENCIA", "OK"
@@ -126,14 +126,22 @@ def check_types(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
 def check_references(df: DataFrame, references: Mapping[str, DataFrame]) -> DataFrame:
     """Rows whose key is missing from its reference table; a null key counts as missing.
 
-    The fact table is reduced to one row per key before the anti join, and
-    null keys are counted apart, so neither hot nor null keys pile up.
+    One scan of the fact table counts the rows of every key of all references (grouping sets); anti joins
+    then meet one row per key, so neither hot nor null keys pile up.
     """
     checks = [(c, ref) for c, ref in references.items() if c in df.columns and c in ref.columns]
+    if not checks:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    names = [f"k{i}" for i in range(len(checks))]
+    keys = df.select(*[col(c).alias(n) for n, (c, _) in zip(names, checks)])
+    counts = keys.groupingSets([[n] for n in names], *names).agg(F.count(F.lit(1)).alias("rows"), F.grouping_id().alias("of"))
+    counts = stage(counts, "reference-keys")
     out = None
-    for c, ref in checks:
-        totals = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(col(c).isNull()).alias("bad"))
-        orphans = orphan_keys(df, ref, c).agg(F.lit(0).cast("bigint").alias("total"), F.coalesce(F.sum("rows"), F.lit(0)).alias("bad"))
+    for i, (c, ref) in enumerate(checks):
+        own = counts.where(F.col("of") == (1 << len(checks)) - 1 - (1 << (len(checks) - 1 - i))).select(names[i], "rows")
+        totals = own.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.when(F.col(names[i]).isNull(), F.col("rows"))), F.lit(0)).alias("bad"))
+        there = ref.select(col(c).alias(names[i])).where(F.col(names[i]).isNotNull()).distinct()
+        orphans = own.where(F.col(names[i]).isNotNull()).join(there, names[i], "left_anti").agg(F.lit(0).cast("bigint").alias("total"), F.coalesce(F.sum("rows"), F.lit(0)).alias("bad"))
         both = totals.unionByName(orphans).agg(F.sum("total").alias("total"), F.sum("bad").alias("bad"))
         row = both.select(
             _result(
@@ -145,7 +153,7 @@ def check_references(df: DataFrame, references: Mapping[str, DataFrame]) -> Data
             ).alias("r")
         ).select("r.*")
         out = row if out is None else out.unionByName(row)
-    return out if out is not None else df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    return out
 
 
 def reference_examples(df: DataFrame, reference: DataFrame, key: str, n: int = 5) -> DataFrame:

@@ -303,7 +303,7 @@ _PAIR_SQL = f"SELECT l_orderkey, l_linenumber, cast({_LABEL} as double) AS label
 
 @query(
     "ridge_2d",
-    "R3 R14",
+    "R3",
     f"WITH t AS ({_PAIR_SQL}), m AS (SELECT count(*) * var_pop(a) + 50.0 AS aa, count(*) * var_pop(b) + 50.0 AS bb, count(*) * covar_pop(a, b) AS ab, "
     "count(*) * covar_pop(a, y) AS ay, count(*) * covar_pop(b, y) AS bv, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM t), "
     "w AS (SELECT (ay * bb - bv * ab) / (aa * bb - ab * ab) AS wa, (bv * aa - ay * ab) / (aa * bb - ab * ab) AS wb, ma, mb, my FROM m) "

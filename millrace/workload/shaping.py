@@ -96,7 +96,7 @@ def star_join(t):
 
 @query(
     "incident_rate",
-    "T6 T9 S1",
+    "T6 T9",
     "SELECT road, count(*) AS n_envios, round(avg(tiene_incidencia), 6) AS tasa_incidencia, round(sum(costo_impacto_total), 2) AS costo "
     f"FROM ({_MASTER_SQL}) GROUP BY road",
 )
