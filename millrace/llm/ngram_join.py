@@ -16,6 +16,8 @@ from millrace.operators.graph import connected_components
 BLOCK_BYTES = 8 << 20
 #: Partners of a class that are counted in one task.
 GROUP_SETS = 1000
+#: Segments that leave a task in one batch.
+SEND_ROWS = 20_000
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -154,25 +156,33 @@ def _signatures(width: int, num: int, den: int, pivots: np.ndarray, ranks_of):
 
 
 def _segments(width: int, pivots: np.ndarray, ranks_of):
-    """Whole sets cut at the pivots: a row per set and fragment that has n-grams."""
+    """Whole sets cut at the pivots: a row per fragment that has n-grams and per group that the set goes to.
+
+    A text whose set is not the expected one (another row of its ``doc_id``) gives nothing.
+    """
 
     def run(batches):
         ranks, seen = np.frombuffer(ranks_of.value, np.uint8), set()
         for part in lots(batches, "text", BLOCK_BYTES):
-            prints, parts, rows = [], [], []
+            places, parts, rows = [], [], []
+            wanted, targets = part.column("fp").to_pylist(), part.column("targets").to_pylist()
             with np.errstate(over="ignore"):
-                for grams in shingle_sets(part.column("text"), width):
+                for i, grams in enumerate(shingle_sets(part.column("text"), width)):
                     fp = _fingerprint(grams)
-                    if fp is None or fp in seen:
+                    if fp is None or fp != wanted[i] or fp in seen:
                         continue
                     seen.add(fp)
                     cell = np.searchsorted(pivots, order_keys(grams, ranks), side="right")
                     for f in np.unique(cell):
-                        prints.append(fp)
-                        parts.append(f)
-                        rows.append(grams[cell == f].view(np.int64))
-            if prints:
-                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array(parts, pa.int32()), _lists(rows, np.int64)], ["fp", "fragment", "grams"])
+                        own = grams[cell == f].view(np.int64)
+                        for t in targets[i]:
+                            places.append((t["a"], t["salt"], t["id"]))
+                            parts.append(f)
+                            rows.append(own)
+            for i in range(0, len(places), SEND_ROWS):
+                a, salt, name = zip(*places[i : i + SEND_ROWS], strict=True)
+                columns = [pa.array(a, pa.int64()), pa.array(parts[i : i + SEND_ROWS], pa.int32()), pa.array(salt, pa.int32()), pa.array(name, pa.int64()), _lists(rows[i : i + SEND_ROWS], np.int64)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "fragment", "salt", "id", "grams"])
 
     return run
 
@@ -225,7 +235,7 @@ class NgramJoin:
     copies; other columns are ignored.
     """
 
-    def __init__(self, docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, fragments: int = 16, most_buckets: int = 1 << 24, chunks: int = 1024, broadcast_rows: int = 2_000_000):
+    def __init__(self, docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, fragments: int = 16, most_buckets: int = 1 << 24, chunks: int = 1024, broadcast_rows: int = 1_000_000):
         self.spark = docs.sparkSession
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.width, self.num, self.den, self.broadcast_rows = width, num, den, broadcast_rows
@@ -292,14 +302,17 @@ class NgramJoin:
         degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(GROUP_SETS))).cast("int").alias("salts"))
         members = pairs.select("a", F.col("b").alias("id")).join(degree, "a").select("a", "id", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"))
         heads = degree.select("a", F.col("a").alias("id"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        wanted = stage(members.unionByName(heads).join(self.classes.select("id", "fp"), "id"), f"ngram-{name}-wanted")
-        texts = self.sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(wanted.select("fp").distinct(), "fp").select("doc_id")
-        texts = stage(texts.distinct(), f"ngram-{name}-texts")
-        few = texts.count() <= self.broadcast_rows
-        texts = self.docs.join(F.broadcast(texts) if few else texts, "doc_id").select("text")
-        cut = texts.mapInArrow(_segments(self.width, self.pivots, self.ranks), "fp binary, fragment int, grams array<long>")
+        wanted = members.unionByName(heads).join(self.classes.select("id", "fp"), "id")
+        # a class has a group for each of its prefix n-grams at most, and one for every GROUP_SETS partners of its own
+        targets = wanted.groupBy("fp").agg(F.collect_list(F.struct("a", "salt", "id")).alias("targets"), F.count(F.lit(1)).alias("groups"))
+        texts = self.sets.where("n > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(targets, "fp")
+        texts = stage(texts, f"ngram-{name}-texts")
+        few = (texts.agg(F.sum("groups")).first()[0] or 0) <= self.broadcast_rows
+        texts = texts.select("doc_id", "fp", "targets")
+        texts = self.docs.join(F.broadcast(texts) if few else texts, "doc_id").select("text", "fp", "targets")
+        cut = texts.mapInArrow(_segments(self.width, self.pivots, self.ranks), "a long, fragment int, salt int, id long, grams array<long>")
         keys = ["a", "fragment", "salt"]
-        sent = cut.join(wanted, "fp").select(*keys, "id", "grams").repartition(*keys).sortWithinPartitions(*keys, F.col("id") != F.col("a"), "id")
+        sent = cut.repartition(*keys).sortWithinPartitions(*keys, F.col("id") != F.col("a"), "id")
         total = sent.mapInArrow(_overlaps, "a long, b long, part long").groupBy("a", "b").agg(F.sum("part").alias("overlap"))
         linked = F.expr(f"{self.den}L * overlap >= {self.num}L * (na + nb - overlap)")
         return stage(total.join(pairs, ["a", "b"]).where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")), f"ngram-{name}-links")
