@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, numbers, text
 from millrace.operators import clean, join, prepare, profile, rules
 from millrace.operators.stats import group_medians
+from millrace.plans import logistics
 from millrace.sources.tables import inventory, keep_for_reuse
 from millrace.workload.base import query
 
@@ -390,6 +391,52 @@ def clean_shipments(t):
     return clean.drop_outliers(df, ["weight"], 2.0)
 
 
+@query(
+    "clean_routes",
+    "C14",
+    "WITH d AS (SELECT DISTINCT * FROM {routes}) SELECT cast(route_id as bigint) AS id_ruta, coalesce(origin, 'Sin origen') AS origen, km AS distancia_km, "
+    "toll AS peaje_total, CASE WHEN road IS NOT NULL THEN " + _TITLE_SQL.replace("{c}", "road") + " END AS tipo_via FROM d",
+)
+def clean_routes(t):
+    rutas = t.routes.select(
+        F.col("route_id").cast("string").alias("id_ruta"), F.col("origin").alias("origen"), F.col("km").cast("string").alias("distancia_km"),
+        F.col("toll").cast("string").alias("peaje_total"), F.col("road").alias("tipo_via"),
+    )
+    return logistics.clean_routes(rutas, {"imputacion": {"origen_desconocido": "Sin origen"}})
+
+
+@query(
+    "clean_vehicles",
+    "C11 C14",
+    "WITH d AS (SELECT DISTINCT * FROM {vehicles}), g AS (SELECT kind AS k, quantile_cont(capacity, 0.5) AS m FROM d WHERE kind IS NOT NULL GROUP BY kind), "
+    "o AS (SELECT vehicle_id, kind, coalesce(capacity, m) AS c FROM d LEFT JOIN g ON kind = k) "
+    "SELECT cast(vehicle_id as bigint) AS id_vehiculo, CASE WHEN kind IS NOT NULL THEN " + _TITLE_SQL.replace("{c}", "kind") + " END AS tipo, "
+    "coalesce(c, (SELECT quantile_cont(c, 0.5) FROM o)) AS capacidad_m3 FROM o",
+)
+def clean_vehicles(t):
+    vehiculos = t.vehicles.select(
+        F.col("vehicle_id").cast("string").alias("id_vehiculo"), F.col("kind").alias("tipo"), F.col("capacity").cast("string").alias("capacidad_m3")
+    )
+    return logistics.clean_vehicles(vehiculos)
+
+
+@query(
+    "clean_incidents",
+    "C14",
+    "WITH d AS (SELECT DISTINCT incident_id, shipment_id, seen, kind, cost_text FROM {incidents}), n AS (SELECT cast(incident_id as bigint) AS id_incidencia, "
+    "cast(shipment_id as bigint) AS id_envio, CASE WHEN seen LIKE '%/%' THEN cast(try_strptime(seen, '%d/%m/%Y') as date) "
+    "WHEN seen LIKE '%-%' THEN cast(try_strptime(seen, '%Y-%m-%d') as date) END AS fecha, CASE WHEN kind IS NOT NULL THEN " + _TITLE_SQL.replace("{c}", "kind")
+    + " END AS tipo_incidencia, try_cast(trim(replace(replace(replace(cost_text, '$', ''), '~', ''), 'aprox', '')) as double) AS c FROM d) "
+    "SELECT id_incidencia, id_envio, fecha, tipo_incidencia, coalesce(c, (SELECT quantile_cont(c, 0.5) FROM n)) AS costo_impacto FROM n",
+)
+def clean_incidents(t):
+    incidencias = t.incidents.select(
+        F.col("incident_id").cast("string").alias("id_incidencia"), F.col("shipment_id").cast("string").alias("id_envio"), F.col("seen").alias("fecha"),
+        F.col("kind").alias("tipo_incidencia"), F.col("cost_text").alias("costo_impacto"),
+    )
+    return logistics.clean_incidents(incidencias)
+
+
 # --- rules ------------------------------------------------------------------------------------
 
 
