@@ -130,3 +130,35 @@ def test_copies_of_a_million_points_stay_few(spark):
     asked = made.rows.where("place % 100 = 0").select("x", F.col("place").alias("q"), F.lit(0.01).alias("r"))
     walked = made.within(asked)
     assert walked.count() / 10_000 < 2.5 and made.nodes.agg(F.max("n")).first()[0] == 1_000_000
+
+
+def clouds(n, d):
+    return np.random.default_rng(4).normal(0, 1, (n, d))
+
+
+def test_rows_are_copied_to_groups_not_to_leaves(spark):
+    x = clouds(600, 24)
+    df = frame(spark, x)
+    made = tree.grow_tree(df.select("x", F.col("id").alias("place")), leaf_rows=8, fanout=3)
+    leaves = made.rows.select("node").distinct().count()
+    asked = made.rows.select("x", F.col("place").alias("q"), F.lit(7.0).alias("r"))
+    copies = made.groups_within(asked)
+    assert copies.count() == copies.select("q", "group").distinct().count() <= 600 * 3 * tree.GROUPS
+    assert leaves > 3 * tree.GROUPS and made.nodes.where("group is null").count() < 3 * tree.GROUPS
+    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    got = {r.id: r.n for r in density.neighbour_counts(df, 7.0, leaf_rows=8, fanout=3, block_rows=3).collect()}
+    assert got == dict(enumerate((gap <= 7.0).sum(1).tolist()))
+
+
+def test_groups_of_a_tree_that_needs_several_chunks(spark, points):
+    df = frame(spark, points)
+    made = tree.grow_tree(places(df), 2, leaf_rows=9, fanout=3, chunk_bytes=1500)
+    asked = made.rows.select("x", F.col("place").alias("q"), F.lit(2.0).alias("r"))
+    got = made.groups_within(asked)
+    assert len(made._coarse) > 1 and got.where("group < 0").isEmpty()
+    assert got.count() == got.select("q", "group").distinct().count()
+    here = {(r.q, r.group) for r in got.collect()}
+    rows = made.rows.collect()
+    x = np.array([r.x for r in rows])
+    near = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) <= 2.0
+    assert {(rows[i].place, rows[j].group) for i, j in zip(*np.nonzero(near))} <= here
