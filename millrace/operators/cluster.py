@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from millrace.operators.density import NOISE
 from millrace.operators.join import left_join_unique
 from millrace.operators.moments import class_moments
-from millrace.operators.nearest import BLOCK_ROWS, CHUNK, all_block_pairs, numbered
+from millrace.operators.nearest import all_block_pairs, numbered
 from millrace.operators.tree import distances, matrix
 from millrace.session import col
 
 _SUMS = pa.schema([("row", pa.int64()), ("own", pa.float64()), ("c", pa.float64()), ("s", pa.float64())])
 
+#: Distances that a task holds at once.
+HELD = 1 << 21
+
 # Risk bands of a cluster against the global rate.
 RISK_HIGH, RISK_LOW, RISK_MEDIUM = "riesgo_operativo_alto", "riesgo_operativo_bajo", "riesgo_operativo_medio"
 
@@ -35,7 +38,7 @@ def best_kmeans(df: DataFrame, k: int, seed: int = 42, restarts: int = 10, featu
     return best
 
 
-def silhouette_euclidean(points: DataFrame, block_rows: int = BLOCK_ROWS) -> float | None:
+def silhouette_euclidean(points: DataFrame, block_rows: int | None = None) -> float | None:
     """Mean silhouette under Euclidean distance, exactly; noise removed.
 
     ``points`` carries the cluster in its payload. Every block pair hands back
@@ -48,17 +51,20 @@ def silhouette_euclidean(points: DataFrame, block_rows: int = BLOCK_ROWS) -> flo
         return None
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        b, label, rows = matrix(right.column("x")), right.column("p").to_numpy(), right.column("row").to_numpy()
-        names, which = np.unique(label, return_inverse=True)
+        right = right.sort_by("p")
+        b, rows = matrix(right.column("x")), right.column("row").to_numpy()
+        names, starts = np.unique(right.column("p").to_numpy(), return_index=True)
         a_all, own, mine = matrix(left.column("x")), left.column("p").to_numpy(), left.column("row").to_numpy()
-        parts = []
-        for start in range(0, len(a_all), CHUNK):
-            at = slice(start, start + CHUNK)
+        by_row, parts = np.argsort(rows), []
+        step = max(1, HELD // len(b))
+        for start in range(0, len(a_all), step):
+            at = slice(start, start + step)
             gap = np.sqrt(distances(a_all[at], b))
-            gap[mine[at][:, None] == rows[None, :]] = 0.0
-            for c, name in enumerate(names):
-                n = len(gap)
-                parts.append([mine[at], own[at], np.full(n, name), gap[:, which == c].sum(1)])
+            self_at = by_row[np.minimum(np.searchsorted(rows, mine[at], sorter=by_row), len(rows) - 1)]
+            here = np.flatnonzero(rows[self_at] == mine[at])
+            gap[here, self_at[here]] = 0.0
+            m = len(names)
+            parts.append([np.repeat(mine[at], m), np.repeat(own[at], m), np.tile(names, len(gap)), np.add.reduceat(gap, starts, axis=1).ravel()])
         return pa.table([pa.array(np.concatenate([part[i] for part in parts]), f.type) for i, f in enumerate(_SUMS)], schema=_SUMS)
 
     sums = all_block_pairs(points, points, kernel, _SUMS, block_rows).groupBy("row", "own", "c").agg(F.sum("s").alias("s")).join(sizes, "c")
