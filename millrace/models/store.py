@@ -24,7 +24,7 @@ from millrace.models.linear import RidgeSolution
 from millrace.models.neighbours import NeighbourModel
 from millrace.sources.tables import load_model, save_model
 
-VERSION = 2
+VERSION = 3
 
 
 def _save_all(models, path: str) -> None:
@@ -45,22 +45,17 @@ def _load_trees(kind):
     return lambda spark, path, v: kind(_load_all(spark, f"{path}/trees", len(v["weights"])), v["weights"])
 
 
-def _save_kernel(m: KernelModel, path: str) -> dict:
-    _save_all([m.model], f"{path}/model")
-    return m.numbers()
-
-
 #: Kind: (class, save(model, path) -> numbers, load(spark, path, numbers) -> model).
 _KINDS: dict[str, tuple[type, Callable, Callable]] = {
     "gaussian": (LogDensityModel, lambda m, _: m.to_dict(), lambda _, __, v: LogDensityModel(**v)),
     "histogram": (HistModel, lambda m, _: m.to_dict(), lambda _, __, v: HistModel.from_dict(v)),
-    "linear_call": (LinearCall, lambda m, _: {"weights": m.weights.tolist(), "intercept": m.intercept}, lambda _, __, v: LinearCall(**_array(v))),
+    "linear_call": (LinearCall, lambda m, _: {"weights": m.weights.tolist(), "intercept": m.intercept, "margin": m.margin}, lambda _, __, v: LinearCall(**_array(v))),
     "ridge": (RidgeSolution, lambda m, _: {"weights": m.weights.tolist(), "intercept": m.intercept}, lambda _, __, v: RidgeSolution(**_array(v))),
     "constant": (Constant, lambda m, _: vars(m), lambda _, __, v: Constant(**v)),
     "neighbours": (NeighbourModel, lambda m, path: m.save(path), NeighbourModel.load),
     "boosted_classifier": (BoostedClassifier, _save_trees, _load_trees(BoostedClassifier)),
     "boosted_regressor": (BoostedRegressor, _save_trees, _load_trees(BoostedRegressor)),
-    "kernel": (KernelModel, _save_kernel, lambda spark, path, v: KernelModel(_load_all(spark, f"{path}/model", 1)[0], **v)),
+    "kernel": (KernelModel, lambda m, _: m.numbers(), lambda _, __, v: KernelModel(**_array(v))),
 }
 
 
