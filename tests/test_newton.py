@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ def test_hinge_reaches_the_least_goal(rows):
     found = np.append(model.weights, model.intercept)
     rng = np.random.default_rng(0)
     assert all(goal(found) <= goal(found + step) + 1e-4 for size in (1e-3, 1e-2, 0.1) for step in rng.normal(0, size, (200, 4)))
+    theirs = LinearSVC(labelCol="called", weightCol="weight", regParam=1e-2, standardization=False, maxIter=1000, tol=1e-6).fit(rows)
+    assert goal(found) <= goal(np.append(theirs.coefficients.toArray(), theirs.intercept)) + 1e-5
     called = got(rows.withColumnRenamed("called", "label")).toPandas()
     assert np.allclose(called.score, np.stack(called.x) @ found[:-1] + found[-1]) and ((called.score > 0) == (called.prediction == 1)).all()
 
@@ -62,3 +65,11 @@ def test_all_pairs_take_blocks_as_large_as_a_task_holds(spark):
     names = np.arange(300) % 4
     points = spark.createDataFrame([(i, v.tolist(), float(c)) for i, (v, c) in enumerate(zip(x, names))], "id long, x array<double>, p double")
     assert cluster.silhouette_euclidean(points) == pytest.approx(cluster.silhouette_euclidean(points, block_rows=17), abs=1e-9)
+
+
+@pytest.mark.parametrize(("column", "wrong"), [("label", None), ("label", float("nan")), ("label", 2.0), ("weight", -1.0)])
+def test_rows_without_a_sound_label_fail(rows, column, wrong):
+    train = rows.withColumnRenamed("called", "label")
+    bad = train.withColumn(column, F.when(F.col("row_id") != 7, F.col(column)).otherwise(F.lit(wrong)))
+    with pytest.raises(Exception, match="must not be null"):
+        newton.fit_hinge(bad, 0.01)
