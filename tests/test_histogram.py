@@ -112,3 +112,26 @@ def test_candidates_and_saved_form(spark):
     model = histogram.fit_histogram_boosting(df, max_iter=3)
     again = histogram.HistModel.from_dict(model.to_dict())
     assert [r.score for r in model.transform(df).orderBy("row_id").collect()] == [r.score for r in again.transform(df).orderBy("row_id").collect()]
+
+
+def test_blocks_hold_rows_and_leaves_part_them():
+    rng = np.random.default_rng(5)
+    bins, y = rng.integers(0, 256, (500, 3)).astype(np.uint8), rng.normal(0, 1, 500)
+    kept = list(histogram._blocks(histogram._packed(bins, y, y + 1, y + 2)))
+    back = histogram._block(kept[0], 3)
+    assert len(kept) == 1 and all(np.array_equal(a, b) for a, b in zip(back, (bins, y, y + 1, y + 2), strict=True))
+    tree = histogram.HistTree([1, 0, 0, 0, 0], [100, 50, 0, 0, 0], [1, 3, -1, -1, -1], [2, 4, -1, -1, -1], [0.0, 0.0, 1.0, 2.0, 3.0])
+    found = tree.leaves(back[0])
+    assert sorted(np.concatenate([rows for _, rows in found]).tolist()) == list(range(500))
+    assert tree.score(bins).tolist() == np.where(bins[:, 1] > 100, 1.0, np.where(bins[:, 0] <= 50, 2.0, 3.0)).tolist()
+
+
+def test_small_blocks_give_the_same_trees(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 40, (600, 2)).astype(float)
+    df = frame(spark, x, (x[:, 0] > x[:, 1]).astype(float)).repartition(5)
+    whole = histogram.fit_histogram_boosting(df, "squared_error", 3, max_leaf_nodes=5)
+    monkeypatch.setattr(histogram, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(histogram, "WRITE_EVERY", 2)
+    small = histogram.fit_histogram_boosting(df, "squared_error", 3, max_leaf_nodes=5)
+    assert [(t.feature, t.bin, t.left, t.right) for t in small.trees] == [(t.feature, t.bin, t.left, t.right) for t in whole.trees]
