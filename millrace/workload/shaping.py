@@ -70,9 +70,13 @@ def _master(t):
     ships = ships.select("shipment_id", "line_no", "route_id", "vehicle_id", "weight", "volume")
     routes = join.unique_by_key(t.routes, "route_id", _DIM_ORDER)
     vehicles = join.unique_by_key(t.vehicles, "vehicle_id", ["kind", "capacity"])
-    out = join.left_join_unique(ships, routes, "route_id")
+    children = _children(t)
+    # The table that adds least comes first and the widest last, so no shuffle carries the texts of the routes.
+    out = join.left_join_unique(ships, children, "shipment_id")
     out = join.left_join_unique(out, vehicles, "vehicle_id")
-    out = join.left_join_unique(out, _children(t), "shipment_id")
+    out = join.left_join_unique(out, routes, "route_id")
+    keys = ["shipment_id", "vehicle_id", "route_id"]
+    out = out.select(*keys, *[c for part in (ships, routes, vehicles, children) for c in part.columns if c not in keys])
     out = join.fill_defaults(
         out, {"total_incidencias": 0, "costo_impacto_total": 0.0, "tipos_incidencia": "Sin Incidencia"}
     )
