@@ -86,13 +86,14 @@ def rank_of(counts: np.ndarray) -> np.ndarray:
     return np.where(counts < 64, counts, np.minimum(steps, 255)).astype(np.uint8)
 
 
-def cut_points(ranks: np.ndarray, fragments: int) -> np.ndarray:
-    """Pivots that cut the global order (rank, hash) into fragments of about equal mass.
+def cut_points(held: np.ndarray, fragments: int) -> np.ndarray:
+    """Pivots that cut the global order (rank, hash) into fragments of about equal mass; ``held`` counts the buckets of each rank.
 
     The order key of an n-gram is its rank in the top byte and its hash below,
     so inside one rank the mass is even and pivots are interpolated.
     """
-    rank, buckets = np.unique(ranks, return_counts=True)
+    rank = np.flatnonzero(held)
+    buckets = held[rank]
     weight = np.where(rank < 64, rank, 64 * 2.0 ** ((rank.astype(float) - 64) / 8)) * buckets
     edge = np.concatenate([[0], np.cumsum(weight)])
     marks = edge[-1] * np.arange(1, fragments) / fragments
@@ -244,11 +245,16 @@ class NgramJoin:
         scan = stage(self.docs.mapInArrow(_scan(width, buckets, chunks), "doc_id long, n int, fp binary, chunk int, counts binary"), "ngram-scan")
         self.sets = scan.where("chunk is null").select("doc_id", "n", "fp")
         sketch = scan.where("chunk is not null").select("chunk", "counts").repartition("chunk")
-        ranks = np.zeros((chunks, buckets // chunks), np.uint8)
-        for row in sketch.mapInArrow(_add_up, "chunk int, ranks binary").collect():  # one row per chunk
-            ranks[row.chunk] = np.frombuffer(row.ranks, np.uint8)
-        self.pivots = cut_points(ranks, fragments)
-        self.ranks = self.spark.sparkContext.broadcast(ranks.tobytes())
+        # one copy of the ranks on the driver: chunks come a partition at a time and go straight to their place
+        step, held = buckets // chunks, np.zeros(256, np.int64)
+        ranks = bytearray(buckets)
+        for row in stage(sketch.mapInArrow(_add_up, "chunk int, ranks binary"), "ngram-ranks").toLocalIterator():
+            ranks[row.chunk * step : (row.chunk + 1) * step] = row.ranks
+            held += np.bincount(np.frombuffer(row.ranks, np.uint8), minlength=256)
+        if buckets > (seen := int(held.sum())):
+            held[0] += buckets - seen
+        self.pivots = cut_points(held, fragments)
+        self.ranks = self.spark.sparkContext.broadcast(ranks)
         made = self.docs.select("text").mapInArrow(_signatures(width, num, den, self.pivots, self.ranks), "fp binary, n int, cells array<int>, prefix array<long>, homes array<int>")
         first = made.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("n", "cells", "prefix", "homes")])
         self.classes = stage(first.withColumn("id", F.monotonically_increasing_id()), "ngram-classes")

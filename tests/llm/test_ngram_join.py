@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from millrace.llm import ngram_join
@@ -86,3 +87,15 @@ def test_missing_and_repeated_ids(spark):
 
 def test_empty_table(spark):
     assert ngram_join.ngram_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_pivots_come_from_counts_per_rank():
+    """The driver needs 256 counts, not a sorted copy of every rank."""
+    ranks = np.random.default_rng(2).integers(1, 40, 50_000).astype(np.uint8)
+    got = ngram_join.cut_points(np.bincount(ranks, minlength=256), 4)
+    keys = np.sort((ranks.astype(np.uint64) << np.uint64(56)))
+    mass = np.cumsum((keys >> np.uint64(56)).astype(float))
+    for f, pivot in enumerate(got, 1):
+        below = mass[np.searchsorted(keys, (pivot >> np.uint64(56)) << np.uint64(56)) - 1]
+        assert abs(below / mass[-1] - f / 4) < 0.06
+    assert len(ngram_join.cut_points(np.bincount([0] * 8, minlength=256), 4)) == 3
