@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,25 +17,127 @@ from millrace.operators.join import left_join_unique
 from millrace.operators.moments import class_moments
 from millrace.operators.nearest import all_block_pairs, numbered
 from millrace.operators.tree import distances, matrix
-from millrace.session import col
+from millrace.session import col, stage
 
 _SUMS = pa.schema([("row", pa.int64()), ("own", pa.float64()), ("c", pa.float64()), ("s", pa.float64())])
 
 #: Distances that a task holds at once.
 HELD = 1 << 21
+#: Bytes of a block of rows.
+BLOCK_BYTES = 4 << 20
 
 # Risk bands of a cluster against the global rate.
 RISK_HIGH, RISK_LOW, RISK_MEDIUM = "riesgo_operativo_alto", "riesgo_operativo_bajo", "riesgo_operativo_medio"
 
 
-def best_kmeans(df: DataFrame, k: int, seed: int = 42, restarts: int = 10, features: str = "features") -> KMeansModel:
+class Centres:
+    """Cluster centres with their within-cluster sum of squares."""
+
+    def __init__(self, centres: np.ndarray, cost: float, features: str = "features"):
+        self.centres, self.cost, self.features = centres, cost, features
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` and the number of each row's nearest centre (``cluster``)."""
+        shift = self.centres.mean(0)
+        centres = self.centres - shift
+
+        @F.pandas_udf("int")
+        def nearest(x: pd.Series) -> pd.Series:
+            return pd.Series(_gaps(np.stack(x.to_numpy()) - shift, centres).argmin(1) if len(x) else [], dtype="int32")
+
+        return df.withColumn("cluster", nearest(vector_to_array(col(self.features))))
+
+
+def _gaps(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances to each centre, short of the rows' own |x|^2."""
+    return (centres**2).sum(1) - 2.0 * x @ centres.T
+
+
+def _blocks(df: DataFrame, features: str) -> DataFrame:
+    """(n, single, x): rows packed into blocks of bounded bytes, as single precision where that loses nothing; dealt to all cores and written once."""
+
+    def pack(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            every = matrix(batch.column("x"))
+            step = max(1, BLOCK_BYTES // (8 * max(1, every.shape[1])))
+            for i in range(0, len(every), step):
+                x = every[i : i + step]
+                short = x.astype(np.float32)
+                single = bool((short == x).all())
+                yield pa.RecordBatch.from_arrays([pa.array([len(x)], pa.int64()), pa.array([single]), pa.array([(short if single else x).tobytes()], pa.binary())], ["n", "single", "x"])
+
+    packed = df.select(vector_to_array(col(features)).alias("x")).mapInArrow(pack, "n long, single boolean, x binary")
+    return stage(packed.repartition(df.sparkSession.sparkContext.defaultParallelism), "kmeans-blocks")
+
+
+def _lloyd(blocks: DataFrame, runs: Sequence[np.ndarray], shift: np.ndarray) -> list[np.ndarray]:
+    """One pass for all runs: per run a row (rows, cost, sum of the rows) for each of its centres; centres and sums count from ``shift``."""
+    centres = np.concatenate(runs)
+    ends = np.cumsum([len(r) for r in runs])
+    d = centres.shape[1]
+
+    def add_up(batches):
+        held = np.zeros((len(centres), d + 2))
+        for batch in batches:
+            for n, single, block in zip(batch.column("n").to_pylist(), batch.column("single").to_pylist(), batch.column("x"), strict=True):
+                rows = np.frombuffer(block.as_buffer(), np.float32 if single else np.float64).reshape(n, d)
+                step = max(1, HELD // len(centres))
+                for i in range(0, n, step):
+                    x = rows[i : i + step] - shift
+                    gaps, norm, mine = _gaps(x, centres), (x**2).sum(1), np.zeros((len(x), len(centres)))
+                    here = np.arange(len(x))
+                    for s, e in zip(ends - [len(r) for r in runs], ends, strict=True):
+                        at = s + gaps[:, s:e].argmin(1)
+                        mine[here, at] = 1.0
+                        held[s:e, 1] += np.bincount(at - s, np.maximum(gaps[here, at] + norm, 0.0), e - s)
+                    held[:, 0] += mine.sum(0)
+                    held[:, 2:] += mine.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(held)), pa.int32()), pa.array([r.tobytes() for r in held], pa.binary())], ["c", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(v.as_py()) for v in table.column("sums")], axis=0)
+        return pa.table([table.column("c")[:1], pa.array([total.tobytes()], pa.binary())], ["c", "sums"])
+
+    kind = "c int, sums binary"
+    found = {r.c: np.frombuffer(r.sums) for r in blocks.mapInArrow(add_up, kind).groupBy("c").applyInArrow(add, kind).collect()}  # a row per centre
+    return np.split(np.stack([found[c] for c in range(len(centres))]), ends[:-1])
+
+
+def best_kmeans_each(df: DataFrame, ks: Sequence[int], seed: int = 42, restarts: int = 10, features: str = "features", passes: int = 100, tol: float = 1e-4) -> dict[int, Centres]:
+    """For each k the restart with the least within-cluster sum of squares.
+
+    Spark's k-means chooses each restart's first centres. From there the restarts of all k move together: a pass over the rows
+    serves every one that has not settled (no centre moved farther than ``tol``), so there are ``passes`` passes at most. The cost
+    is that of the last assignment, as Spark reports it; a centre without rows stays.
+    """
+    starts = [KMeans(k=k, seed=seed + r, featuresCol=features, predictionCol="cluster", maxIter=0).fit(df).clusterCenters() for k in ks for r in range(restarts)]
+    asked = [k for k in ks for _ in range(restarts)]
+    shift = np.concatenate(starts).mean(0)
+    runs, costs = [np.stack(s) - shift for s in starts], [0.0] * len(starts)
+    blocks, live = _blocks(df, features), list(range(len(runs)))
+    for _ in range(passes):
+        if not live:
+            break
+        moving = []
+        for i, sums in zip(live, _lloyd(blocks, [runs[i] for i in live], shift), strict=True):
+            n = sums[:, :1]
+            new = np.where(n > 0, sums[:, 2:] / np.maximum(n, 1), runs[i])
+            if (((new - runs[i]) ** 2).sum(1) > tol**2).any():
+                moving.append(i)
+            runs[i], costs[i] = new, float(sums[:, 1].sum())
+        live = moving
+    best = {}
+    for i, k in enumerate(asked):
+        if k not in best or costs[i] < costs[best[k]]:
+            best[k] = i
+    return {k: Centres(runs[i] + shift, costs[i], features) for k, i in best.items()}
+
+
+def best_kmeans(df: DataFrame, k: int, seed: int = 42, restarts: int = 10, features: str = "features") -> Centres:
     """The restart with the least within-cluster sum of squares."""
-    best = None
-    for r in range(restarts):
-        model = KMeans(k=k, seed=seed + r, featuresCol=features, predictionCol="cluster", maxIter=100, tol=1e-4).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    return best_kmeans_each(df, [k], seed, restarts, features)[k]
 
 
 def silhouette_euclidean(points: DataFrame, block_rows: int | None = None) -> float | None:

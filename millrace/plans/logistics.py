@@ -301,15 +301,14 @@ def segment(clf: DataFrame, params: Mapping[str, Any] | None = None, restarts: i
     plan = vectorize.fit_vectorizer(clf, NUMBERS, CATEGORIES)
     ready = cut_lineage(plan.transform(clf).select("id_envio", "features"))
     rows, best = [], None
-    for k in cfg["kmeans_k_values"]:
-        model = cluster.best_kmeans(ready, k, cfg["random_state"], restarts)
+    for k, model in cluster.best_kmeans_each(ready, cfg["kmeans_k_values"], cfg["random_state"], restarts).items():
         labelled = cut_lineage(model.transform(ready))
         if euclidean:
             score = cluster.silhouette_euclidean(nearest.as_points(labelled, "id_envio", "features", "cluster"))
         else:
             score = cluster.silhouette_squared(labelled)
         spread = cluster.davies_bouldin(labelled)
-        rows.append(("KMeans", f"k={k}", k, 0, _r(score), _r(spread), _r(model.summary.trainingCost), None))
+        rows.append(("KMeans", f"k={k}", k, 0, _r(score), _r(spread), _r(model.cost), None))
         if score is not None and (best is None or score > best[0]):
             best = (score, k, labelled.select("id_envio", "cluster"))
     eps, least = cfg["dbscan_eps"], cfg["dbscan_min_samples"]
