@@ -9,7 +9,7 @@ import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from typing import Any
 
 import numpy as np
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from millrace.models import batch, candidates, gaussian
 from millrace.models.candidates import ROW_ID
 from millrace.operators import folds, metrics, vectorize
-from millrace.session import col, cut_lineage
+from millrace.session import col, cut_lineage, stage
 
 CLASSIFICATION, REGRESSION = "clasificacion", "regresion"
 _METRICS = {
@@ -41,6 +41,11 @@ class FoldInput:
     k: int
     parts: list[DataFrame]
 
+    @cached_property
+    def blocks(self) -> batch.Blocks:
+        """The rows of all parts packed for the fits that share scans; written once."""
+        return batch.pack(self.parts)
+
     def split(self, i: int) -> tuple[DataFrame, DataFrame]:
         part = self.parts[i]
         return part.where(F.col("fold") != i), part.where(F.col("fold") == i)
@@ -51,22 +56,23 @@ def fold_input(
 ) -> FoldInput:
     """Assign folds and fit every fold's preprocessing in a few shared jobs.
 
-    The assembled tables are read by every candidate, so each is checkpointed:
+    The assembled tables are read by every candidate, so each is written once:
     later plans start from files instead of dragging the whole history along.
     """
     rows = df.withColumns({ROW_ID: col(key).cast("bigint"), "label": col(target).cast("double")})
+    rows = stage(rows.select(*[col(c) for c in dict.fromkeys([ROW_ID, "label", *numeric, *categorical])]), "fold-input")
     if kind == CLASSIFICATION:
         rows = folds.stratified_folds(rows, "label", [ROW_ID], k, seed)
     else:
         rows = folds.hashed_folds(rows, [ROW_ID], k, seed)
-    rows = cut_lineage(rows)
+    rows = stage(rows, "fold-rows")
     vectorizers = vectorize.fit_fold_vectorizers(rows, "fold", k, numeric, categorical)
     weights = [F.lit(1.0)] * k
     if kind == CLASSIFICATION:
         counted = rows.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()
         weights = [_fold_weight([r for r in counted if r["fold"] != i]) for i in range(k)]
     parts = [
-        cut_lineage(v.transform(rows).select(ROW_ID, "features", "label", w.alias("weight"), "fold"))
+        stage(v.transform(rows).select(ROW_ID, "features", "label", w.alias("weight"), "fold"), "fold-part")
         for v, w in zip(vectorizers, weights)
     ]
     return FoldInput(kind, k, parts)
@@ -169,23 +175,41 @@ def search(
 ) -> tuple[dict[str, Any], float]:
     """Best parameters by mean fold score; a trial that fails counts as missing.
 
-    Linear models and naive Bayes score all trials and folds in shared scans, others are fitted one by one.
+    Linear models, the linear discriminant and naive Bayes score all trials and folds in shared scans, others are fitted one by one.
     """
+    return search_each(data, name, [trials], parallelism)[0]
+
+
+def search_each(
+    data: FoldInput, name: str, lists: Sequence[Sequence[Mapping[str, Any]]], parallelism: int = 4
+) -> list[tuple[dict[str, Any], float]]:
+    """:func:`search` for several lists of trials at once: a trial that is in more than one is scored once."""
+    named = {params_json(t): t for trials in lists for t in trials}
+    scores = dict(zip(named, _trial_scores(data, name, list(named.values()), parallelism), strict=True))
+    out = []
+    for trials in lists:
+        signed = [-scores[params_json(t)] if data.kind == REGRESSION else scores[params_json(t)] for t in trials]
+        if np.isnan(signed).all():
+            raise ValueError(f"every trial of {name} failed")
+        best = int(np.nanargmax(signed))
+        out.append((dict(trials[best]), float(signed[best])))
+    return out
+
+
+def _trial_scores(data: FoldInput, name: str, trials: Sequence[Mapping[str, Any]], parallelism: int) -> list[float]:
     main = _MAIN[data.kind]
     if name == "11_GaussianNB":
         scores = _bayes_scores(data, [t["var_smoothing"] for t in trials])
     else:
-        scores = batch.fold_means(data.parts, name, trials, data.kind == REGRESSION)
+        scores = batch.fold_means(data.blocks, name, trials, data.kind == REGRESSION) if batch.shared(name, trials, data.kind == REGRESSION) else None
+        if scores is not None and name == "12_LinearDiscriminantAnalysis":
+            scores = [round(s, 4) for s in scores]  # as a fit of its own is reported
     if scores is None:
         scores = []
         for t in trials:
             value = cross_validate(data, name, t, parallelism).get(main)
             scores.append(np.nan if value is None else value)
-    signed = [-s if data.kind == REGRESSION else s for s in scores]
-    if np.isnan(signed).all():
-        raise ValueError(f"every trial of {name} failed")
-    best = int(np.nanargmax(signed))
-    return dict(trials[best]), float(signed[best])
+    return scores
 
 
 def _bayes_scores(data: FoldInput, values: Sequence[float]) -> list[float]:

@@ -109,3 +109,25 @@ def test_other_candidates_are_left_to_their_own_fit():
     assert batch.fold_means([], "03_KNeighborsClassifier", [{}], False) is None
     assert batch.fold_means([], "15_SGDClassifier", [{"loss": "hinge"}], False) is None
     assert set(candidates.REGRESSOR_SPACES) >= {"03_Ridge", "04_Lasso", "05_ElasticNet"}
+
+
+def test_discriminants_and_repeated_trials_share_scans(spark, drawn, monkeypatch):
+    _, x, y = drawn
+    label = (y > np.median(y)).astype(float)
+    df = spark.createDataFrame([(i, *map(float, r), float(label[i])) for i, r in enumerate(x)], "row_id bigint, a double, b double, c double, d double, label double")
+    data = selection.fold_input(df, selection.CLASSIFICATION, "label", "row_id", ["a", "b", "c", "d"], [], k=3)
+    name, trials = "12_LinearDiscriminantAnalysis", [{"shrinkage": s, "solver": v} for s in ("auto", 0.0, 0.5, 0.9) for v in ("lsqr", "eigen")]
+    alone = [selection.cross_validate(data, name, t)["f1"] for t in trials[::2]]
+    monkeypatch.setattr(selection, "cross_validate", lambda *a: pytest.fail("fitted one by one"))
+    passes, summed = [], batch._summed
+    monkeypatch.setattr(batch, "_summed", lambda *a: passes.append(1) or summed(*a))
+    assert batch.fold_means(data.blocks, name, trials, False) == pytest.approx(np.repeat(alone, 2), abs=1e-4)
+    assert len(passes) <= 9
+    (few, one), (every, best) = selection.search_each(data, name, [trials[-2:], trials])
+    assert few == trials[-2] and one == alone[-1] and every == trials[2 * int(np.argmax(alone))] and best == max(alone)
+
+
+def test_labels_that_are_not_0_or_1_are_fitted_one_by_one(spark):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 3)) for i in range(60)], "row_id bigint, a double, label double")
+    parts = selection.fold_input(df, selection.CLASSIFICATION, "label", "row_id", ["a"], [], k=2).blocks
+    assert batch.fold_means(parts, "12_LinearDiscriminantAnalysis", [{"shrinkage": 0.5}], False) is None
