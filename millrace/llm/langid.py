@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fmix, lots, query, table
+from millrace.llm.common import fmix, give_back, lots, query, table
 
 BLOCK_BYTES = 1 << 20  # each byte costs about eight 8-byte numbers on the way
 UNKNOWN = "und"
@@ -118,7 +118,10 @@ def fit(docs: DataFrame, per_language: int = 1500, max_bytes: int = 65_536, **op
     limit = F.element_at(F.create_map(*[F.lit(v) for pair in share.items() for v in pair]), F.col("lang"))
     rows = known.where(unit_of("doc_id") < limit).select("doc_id", "text", "lang").collect()
     rows.sort(key=lambda r: (r.lang, r.doc_id, r.text))
-    return build_filters([r.text for r in rows], [r.lang for r in rows], **options)
+    filters = build_filters([r.text for r in rows], [r.lang for r in rows], **options)
+    del rows
+    give_back()
+    return filters
 
 
 def _judged(filters: Filters, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fmix, lots, query, split_words, table, word_hashes
+from millrace.llm.common import fmix, give_back, lots, query, split_words, table, word_hashes
 from millrace.llm.langid import held_out, unit_of
 
 BLOCK_BYTES = 4 << 20
@@ -287,16 +287,18 @@ def train(texts: list[str], labels: list[int], bits: int = 18, epochs: int = 6,
     for h in (0, 1):
         others = [t for t, x in zip(texts, half, strict=True) if x != h]
         fixed.append(word_inputs(words, gather_evidence(others, toxic[half != h], bits)))
+        give_back()
     network = Network.new(seed)
     word_rows, char_rows = _embeds(words, network.rows)
     start, text = windows_of(offsets)
     if not len(start):
         return None
     last = offsets[1:][text]
-    at = (start[:, None] + np.arange(WINDOW)).astype(np.int32)
+    at = start.astype(np.int32)[:, None] + np.arange(WINDOW, dtype=np.int32)
     mask = at < last[:, None]
     token = codes.astype(np.int32)[np.minimum(at, len(codes) - 1)]
     del at, words
+    give_back()
     side = half[text]
     value = np.empty(len(start), np.float32)
     for h in (0, 1):
@@ -343,6 +345,8 @@ def train(texts: list[str], labels: list[int], bits: int = 18, epochs: int = 6,
     value = np.concatenate([network.forward(*batch_of(np.arange(i, min(i + 2048, len(start))))) for i in range(0, len(start), 2048)])
     best = top_window(value)
     scale, shift = _calibrate(value[best].astype(float), toxic[text[best]])
+    del token, mask, fixed
+    give_back()
     return Model(network, gather_evidence(texts, toxic, bits), scale, shift)
 
 
@@ -372,7 +376,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_texts: int = 1500, clean_texts
     found = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.octet_length("text").between(1, max_bytes))
     rows = sorted(found.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect(), key=lambda r: (r.doc_id, r.text))
     with np.errstate(over="ignore"):
-        return train([r.text for r in rows], [r.toxic for r in rows], **options)
+        model = train([r.text for r in rows], [r.toxic for r in rows], **options)
+    del rows
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, key: str = "doc_id") -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from millrace.llm import toxicity
+from millrace.llm import common, toxicity
 
 
 def test_gradients():
@@ -76,3 +76,22 @@ def test_character_grams_mark_word_ends():
     b, _ = toxicity.char_grams(pa.array(["xab"]))
     assert len(set(a[owner == 0]) & set(a[owner == 1])) == 2  # the head and the tail
     assert len(set(a[owner == 0]) & set(b)) == 1  # the tail only
+
+
+def test_fit_gives_its_memory_back(spark):
+    """Training on the driver ends with what it began with and the model, not with its peak."""
+
+    def held():
+        with open("/proc/self/status") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("RssAnon")) / 1024
+
+    rng = np.random.default_rng(3)
+    vocabulary = np.array([f"{a}{b:x}" for b in range(4000) for a in ("lorem", "ipsum", "dolor")])
+    rows = [(i, " ".join(rng.choice(vocabulary, 400)) + " idiot" * (i % 3 == 0), int(i % 3 == 0)) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").cache()
+    docs, labels = df.select("doc_id", "text"), df.select("doc_id", "toxic")
+    docs.count()
+    common.give_back()
+    before = held()
+    model = toxicity.fit(docs, labels, epochs=1, rounds=1, clean_windows=1)
+    assert model is not None and held() - before < 30
