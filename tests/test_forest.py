@@ -55,7 +55,7 @@ def test_thresholds_are_those_of_sparks_trees(spark):
     assert [len(e) for e in grid.edges] == [31, 4, 0]
 
 
-@pytest.mark.parametrize("name", ["08_RandomForestRegressor"])
+@pytest.mark.parametrize("name", ["08_RandomForestRegressor", "14_BaggingRegressor"])
 def test_forest_is_near_sparks(spark, monkeypatch, name):
     rng = np.random.default_rng(2)
     x = np.column_stack([rng.integers(0, 9, 3000), rng.normal(0, 1, 3000)])
