@@ -55,7 +55,7 @@ def test_thresholds_are_those_of_sparks_trees(spark):
     assert [len(e) for e in grid.edges] == [31, 4, 0]
 
 
-@pytest.mark.parametrize("name", ["08_RandomForestRegressor", "14_BaggingRegressor"])
+@pytest.mark.parametrize("name", ["08_RandomForestRegressor", "14_BaggingRegressor", "14_BaggingClassifier"])
 def test_forest_is_near_sparks(spark, monkeypatch, name):
     rng = np.random.default_rng(2)
     x = np.column_stack([rng.integers(0, 9, 3000), rng.normal(0, 1, 3000)])
@@ -100,3 +100,13 @@ def test_odd_forests(spark):
 def test_leaves_that_call_the_same_class_are_joined():
     tree = forest.BinTree.of([0, 0, 0, 0, 0], [1, 0, 0, 0, 0], [1, 3, -1, -1, -1], [0.4, 0.2, 0.9, 0.1, 0.3])
     assert forest.joined(tree).left.tolist() == [1, -1, -1, -1, -1]
+
+
+def test_saved_forest_scores_alike(spark, tmp_path):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 7 > 3)) for i in range(60)], "row_id bigint, n double, label double")
+    plan = vectorize.fit_vectorizer(df, ["n"], [])
+    ready = plan.transform(df)
+    apply = candidates.build("14_BaggingClassifier", {"n_estimators": 3})(ready)
+    store.save_fitted(apply, plan, str(tmp_path / "m"), df.drop("label"))
+    saved = store.load_fitted(spark, str(tmp_path / "m"))(df.drop("label"))
+    assert {r.row_id: r.score for r in saved.collect()} == {r.row_id: r.score for r in apply(ready).collect()}
