@@ -15,7 +15,7 @@ from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.models.batch import LinearCall
-from millrace.models.boost import BoostedClassifier, BoostedRegressor
+from millrace.models.boost import BoostedClassifier, BoostedRegressor, CellBooster
 from millrace.models.candidates import Apply, Constant, keep_result_columns
 from millrace.models.forest import ForestModel
 from millrace.models.gaussian import LogDensityModel
@@ -49,6 +49,7 @@ def _load_trees(kind):
 #: Kind: (class, save(model, path) -> numbers, load(spark, path, numbers) -> model).
 _KINDS: dict[str, tuple[type, Callable, Callable]] = {
     "gaussian": (LogDensityModel, lambda m, _: m.to_dict(), lambda _, __, v: LogDensityModel(**v)),
+    "cell_booster": (CellBooster, lambda m, _: m.to_dict(), lambda _, __, v: CellBooster.from_dict(v)),
     "forest": (ForestModel, lambda m, _: m.to_dict(), lambda _, __, v: ForestModel.from_dict(v)),
     "histogram": (HistModel, lambda m, _: m.to_dict(), lambda _, __, v: HistModel.from_dict(v)),
     "linear_call": (LinearCall, lambda m, _: {"weights": m.weights.tolist(), "intercept": m.intercept, "margin": m.margin}, lambda _, __, v: LinearCall(**_array(v))),
