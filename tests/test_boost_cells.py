@@ -25,6 +25,15 @@ def both(monkeypatch, df, name, params, shown):
     return said
 
 
+def test_gradient_boosting_equals_sparks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 9, 2000), rng.normal(0, 1, 2000), rng.normal(0, 1, 2000)])
+    df = frame(spark, x, 100 + x[:, 0] * x[:, 1] + rng.normal(0, 1, 2000))
+    (own, got), (sparks, want) = both(monkeypatch, df, "10_GradientBoostingRegressor", {"n_estimators": 12, "min_samples_leaf": 30}, "prediction")
+    assert type(own.__self__) is boost.CellBooster and hasattr(sparks, "model")
+    assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_adaptive_boosting_is_near_the_rounds_over_rows(spark, monkeypatch):
     rng = np.random.default_rng(4)
     x = rng.integers(0, 12, (2500, 3)).astype(float)  # few values: both have all thresholds in each round
